@@ -37,7 +37,9 @@ def _text(column: Column) -> Column:
 
 def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text column per trip field, plus provenance."""
-    lines = table(spark, sf_dir, "lineitem")
+    # Orders are too large to broadcast at scale, so the join needs this shuffle
+    # anyway. On small data it spreads a file that is one row group.
+    lines = table(spark, sf_dir, "lineitem").repartition("l_orderkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")

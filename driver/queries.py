@@ -35,6 +35,13 @@ def plain(df: DataFrame) -> DataFrame:
     )
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table that several branches read, as the build does, and read it."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips.typed(adapter.trips_raw(spark, sf_dir))
 
@@ -136,8 +143,10 @@ def first_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trips_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = trips.extract(adapter.bronze_trips(spark, sf_dir), adapter.observed_keys())
-    return plain(trips.staged(trips.labelled(texts, LIMITS)))
+    bronze = stored(adapter.bronze_trips(spark, sf_dir), "bronze")
+    texts = trips.extract(bronze, adapter.observed_keys())
+    labels = stored(trips.labelled(texts, LIMITS), "labelled")
+    return plain(trips.staged(labels))
 
 
 def rank_within_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,25 +188,30 @@ def _results(results: DataFrame) -> DataFrame:
 
 
 def check_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = stored(labelled(spark, sf_dir), "labelled")
+    clean_ = stored(trips.clean(labels), "clean")
+    zones_ = zones(spark, sf_dir)
     tables = {
-        "trips_staged": labelled(spark, sf_dir),
-        "trips_clean": clean(spark, sf_dir),
-        "zones_clean": zones(spark, sf_dir),
-        "fct_trips": fact(spark, sf_dir),
+        "trips_staged": labels,
+        "trips_clean": clean_,
+        "zones_clean": zones_,
+        "fct_trips": facts.fct_trips(clean_, zones_),
     }
     found = [ck.not_null(df, name, trip_checks.NOT_NULL[name]) for name, df in tables.items()]
     return ck.run_checks(found).select("check", "violations")
 
 
 def check_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts_ = fact(spark, sf_dir)
+    labels = stored(labelled(spark, sf_dir), "labelled")
+    clean_ = stored(trips.clean(labels), "clean")
+    facts_ = facts.fct_trips(clean_, zones(spark, sf_dir))
     tables = {
-        "trips_clean": clean(spark, sf_dir),
+        "trips_clean": clean_,
         "zones_clean": zones(spark, sf_dir),
         "dim_location": dims.dim_location(zones(spark, sf_dir)),
         "fct_trips": facts_,
         "agg_monthly_kpis": facts.agg_monthly_kpis(facts_),
-        "dq_summary": trips.quality_summary(labelled(spark, sf_dir)),
+        "dq_summary": trips.quality_summary(labels),
     }
     found = [
         ck.unique(df, name, column) for name, df in tables.items() for column in trip_checks.UNIQUE[name]
@@ -229,8 +243,8 @@ def check_no_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def check_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts_ = fact(spark, sf_dir)
-    raw, audit = adapter.trips_raw(spark, sf_dir), adapter.audit(spark, sf_dir)
+    facts_ = stored(fact(spark, sf_dir), "fact")
+    raw, audit = adapter.trips_raw(spark, sf_dir), stored(adapter.audit(spark, sf_dir), "audit")
     checks = [
         *trip_checks.column_checks({"fct_trips": facts_}),
         ck.References(facts_, trip_checks.references(short_dimensions(spark, sf_dir))),
@@ -247,11 +261,12 @@ def check_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layer_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean_ = stored(clean(spark, sf_dir), "clean")
     return reports.layer_volumes(
         {
             "trips_raw": adapter.trips_raw(spark, sf_dir),
-            "trips_clean": clean(spark, sf_dir),
-            "fct_trips": fact(spark, sf_dir),
+            "trips_clean": clean_,
+            "fct_trips": facts.fct_trips(clean_, zones(spark, sf_dir)),
         }
     )
 

@@ -73,18 +73,22 @@ def blank_to_null(text: Column) -> Column:
 
 
 def safe_integer(text: Column, precision: int) -> Column:
-    """Whole number of at most ``precision`` digits; halves round away from zero."""
-    return blank_to_null(text).try_cast(f"decimal({precision},0)")
+    """Whole number of at most ``precision`` digits; halves round away from zero.
+
+    The casts here ignore space around a value and give NULL for a blank, so
+    they need no ``blank_to_null`` first.
+    """
+    return text.try_cast(f"decimal({precision},0)")
 
 
 def safe_decimal(text: Column, precision: int, scale: int) -> Column:
     """Decimal rounded to ``scale``; NULL when it does not fit."""
-    return blank_to_null(text).try_cast(f"decimal({precision},{scale})")
+    return text.try_cast(f"decimal({precision},{scale})")
 
 
 def safe_timestamp(text: Column) -> Column:
     """Zone-less timestamp."""
-    return blank_to_null(text).try_cast("timestamp_ntz")
+    return text.try_cast("timestamp_ntz")
 
 
 def period_start(period: Column) -> Column:

@@ -21,6 +21,9 @@ SETTINGS = {
     # A damaged file must stop the load, never shrink it.
     "spark.sql.files.ignoreCorruptFiles": "false",
     "spark.sql.files.ignoreMissingFiles": "false",
+    # The JVM does not compile methods above this size. Wide projections then
+    # run as many small compiled methods instead of one interpreted one.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Raw records are stored shredded, so one field is one column chunk.
     "spark.sql.variant.writeShredding.enabled": "true",
     "spark.sql.variant.inferShreddingSchema": "true",
