@@ -48,10 +48,6 @@ AUDIT_LOG = (
 VERSION_LOG = "name string, version string, row_count long, built_at timestamp, entry long"
 
 
-class EmptyLoad(RuntimeError):
-    """A load or its file has nothing in it; the previous version stays."""
-
-
 @dataclass(frozen=True)
 class Load:
     """One committed load."""
@@ -116,8 +112,6 @@ class Lake:
         url: str,
         field_names: Sequence[str] | None = None,
     ) -> Load:
-        if origin.byte_count == 0:
-            raise EmptyLoad(f"{origin.source_file} has no bytes")
         load_id = uuid.uuid4().hex
         counted = Observation()
         (
@@ -128,7 +122,7 @@ class Lake:
         )
         row_count = counted.get["row_count"]
         if not row_count:
-            raise EmptyLoad(f"no rows for {dataset} {period}")
+            raise landing.EmptyLoad(f"no rows for {dataset} {period}")
         self._append(
             self._audit_path,
             AUDIT_LOG,
@@ -152,8 +146,6 @@ class Lake:
     ) -> Load:
         """Capture one landed Parquet file and replace its period, only that one."""
         origin = landing.origin(self.spark, path)
-        if origin.byte_count == 0:
-            raise EmptyLoad(f"{path} has no bytes")
         if not origin.has_signature:
             raise ValueError(f"{path} is not a Parquet file")
         rows = landing.capture(self.spark, path, period)

@@ -20,6 +20,11 @@ SIGNATURE = b"PAR1"
 WHOLE_FILE_BYTES = 256 << 20
 CHUNK_BYTES = 8 << 20
 
+
+class EmptyLoad(RuntimeError):
+    """A load or its file has nothing in it; the previous version stays."""
+
+
 MANIFEST = (
     "source_file string, path string, byte_count long, file_sha256 string, has_signature boolean"
 )
@@ -55,7 +60,7 @@ def _read_in_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def manifest(
     spark: SparkSession, *paths: str, whole_file_bytes: int = WHOLE_FILE_BYTES
 ) -> DataFrame:
-    """Name, size, SHA-256 and signature of each file, every byte read once.
+    """Name, size, SHA-256 and signature of each non-empty file, read once.
 
     A SHA-256 is sequential per file, so files are the unit of work. Small
     files are hashed by Spark's own functions. A file that would not fit a
@@ -99,8 +104,10 @@ def origin(spark: SparkSession, path: str) -> Row:
         F.min("file_sha256").alias("only_digest"),
         F.sha2(F.concat_ws(",", F.sort_array(F.collect_list("file_sha256"))), 256).alias("digest"),
     ).first()
-    if not facts.files:
-        raise FileNotFoundError(path)
+    # Spark lists files without bytes but never reads them.
+    listed = len(spark.read.format("binaryFile").load(path).inputFiles())
+    if facts.files < max(listed, 1):
+        raise EmptyLoad(f"{path} has a file without bytes")
     single = facts.files == 1
     return Row(
         source_file=facts.only_file if single else path.rstrip("/").rsplit("/", 1)[-1],
