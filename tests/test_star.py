@@ -147,12 +147,6 @@ def test_kpis(spark):
     assert february.avg_tip_percentage is None and february.avg_duration_minutes == 0
 
 
-def test_broadcast_only_when_small(spark):
-    big = spark.range(100)
-    assert "broadcast" in lookup.broadcast_if_small(big, 100)._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in lookup.broadcast_if_small(big, 99)._jdf.queryExecution().logical().toString().lower()
-
-
 def test_orphans_are_counted_in_one_scan(spark, tmp_path):
     path = str(tmp_path / "f")
     spark.createDataFrame([(1, 1), (1, 9), (9, 9), (None, 2)], "a int, b int").coalesce(1).write.parquet(path)
@@ -170,6 +164,13 @@ def test_orphans_are_counted_in_one_scan(spark, tmp_path):
     assert plan.count("FileScan parquet") == 1
 
 
+def test_text_keys(spark):
+    fact = spark.createDataFrame([("x", 1), ("y", 5)], "k string, n int")
+    parents = spark.createDataFrame([("x", 1)], "id string, n int")
+    refs = [lookup.Reference("k", "k", parents, "id"), lookup.Reference("n", "n", parents, "n")]
+    assert {r.relationship: r.orphans for r in lookup.orphan_counts(fact, refs).collect()} == {"k": 1, "n": 1}
+
+
 def test_keys_of_another_type_still_match(spark):
     fact = spark.createDataFrame([("7",), ("8",)], "k string").select(F.col("k").cast("decimal(5,0)").alias("k"))
     refs = [lookup.Reference("k", "k", spark.createDataFrame([(7,)], "id int"), "id")]

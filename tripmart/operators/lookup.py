@@ -8,22 +8,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType, IntegralType
 
 from tripmart.sources.inline import values
 
 UNKNOWN = -1
-BROADCAST_ROWS = 500_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after counting that it has few rows.
-
-    The count stops at the limit. A larger relation is returned as it is and
-    joined by shuffle, where AQE splits hot keys.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
 
 
 def known_or_unknown(code: Column, members: Sequence[int]) -> Column:
@@ -58,6 +47,13 @@ class Reference:
     key: str
 
 
+def _whole(kind: DataType) -> bool:
+    """Does every value of this type fit a long?"""
+    if isinstance(kind, DecimalType):
+        return kind.scale == 0 and kind.precision <= 18
+    return isinstance(kind, IntegralType)
+
+
 def orphan_counts(
     facts: DataFrame, references: Sequence[Reference], count_null: bool = False
 ) -> DataFrame:
@@ -65,43 +61,38 @@ def orphan_counts(
 
     All references are counted in one scan: each row yields its keys, equal
     keys are counted before the shuffle, and only the distinct keys are joined.
-    NULL keys are left out unless ``count_null`` is set.
+    Whole-number keys stay numbers, which keeps that counting cheap. NULL keys
+    are left out unless ``count_null`` is set.
     """
-    names = [r.name for r in references]
-    pairs = F.explode(
-        F.array(
-            *(
-                F.struct(
-                    F.lit(r.name).alias("relationship"),
-                    F.col(r.column).cast(r.parent.schema[r.key].dataType).cast("string").alias("value"),
-                )
-                for r in references
-            )
-        )
-    ).alias("pair")
+    kinds = [facts.schema[r.column].dataType for r in references]
+    kinds += [r.parent.schema[r.key].dataType for r in references]
+    common = "long" if all(map(_whole, kinds)) else "string"
+
+    def keyed(position: int, key: str) -> list[Column]:
+        return [F.lit(position).alias("reference"), F.col(key).cast(common).alias("value")]
+
+    pairs = F.array(*(F.struct(*keyed(i, r.column)) for i, r in enumerate(references)))
     used = (
-        facts.select(pairs)
-        .select("pair.relationship", "pair.value")
-        .groupBy("relationship", "value")
+        facts.select(F.explode(pairs).alias("pair"))
+        .select("pair.reference", "pair.value")
+        .groupBy("reference", "value")
         .agg(F.count(F.lit(1)).alias("uses"))
     )
     if not count_null:
         used = used.filter(F.col("value").isNotNull())
     members = reduce(
-        DataFrame.unionByName,
-        (
-            r.parent.select(
-                F.lit(r.name).alias("relationship"), F.col(r.key).cast("string").alias("value")
-            )
-            for r in references
-        ),
+        DataFrame.unionByName, (r.parent.select(*keyed(i, r.key)) for i, r in enumerate(references))
     )
     missing = (
-        used.join(members, ["relationship", "value"], "left_anti")
-        .groupBy("relationship")
-        .agg(F.sum("uses").alias("orphans"))
+        used.join(members, ["reference", "value"], "left_anti")
+        .groupBy("reference")
+        .agg(F.sum("uses").alias("missing"))
+    )
+    listed = values(
+        facts.sparkSession,
+        [(i, r.name) for i, r in enumerate(references)],
+        "reference int, relationship string",
     )
-    listed = values(facts.sparkSession, [(n,) for n in names], "relationship string")
-    return listed.join(missing, "relationship", "left").select(
-        "relationship", F.coalesce("orphans", F.lit(0)).cast("long").alias("orphans")
+    return listed.join(missing, "reference", "left").select(
+        "relationship", F.coalesce("missing", F.lit(0)).cast("long").alias("orphans")
     )

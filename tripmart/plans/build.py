@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from tripmart.operators.checks import evaluate, gate, run_checks
 from tripmart.operators.dedup import first_copies, flag_first, repeated_keys
-from tripmart.operators.lookup import BROADCAST_ROWS
 from tripmart.plans import dims, facts, reports, trip_checks, trips
 from tripmart.sources import landing
 from tripmart.sources.inline import values
 from tripmart.sources.lake import TRIPS, ZONES, Lake
 
+# First copies are broadcast up to this many rows, about 150 bytes each.
+BROADCAST_ROWS = 500_000
+
 # Names of the rebuilt tables.
 LABELLED = "silver.trips_labelled"
 REPEATED = "silver.repeated_records"
