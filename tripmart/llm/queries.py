@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import mixing, urls
+from tripmart.llm import language, mixing, ranking, repetition, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_mixing": mixing.query,
+        "op4_language_id": language.query,
+        "op6_quality_rules": repetition.query,
+        "op7_quality_classifier": ranking.query,
         "op9_url_filters": urls.query,
     }
 
