@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import language, mixing, ranking, repetition, urls
+from tripmart.llm import language, mixing, packing, ranking, repetition, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_packing": packing.query,
         "op3_mixing": mixing.query,
         "op4_language_id": language.query,
         "op6_quality_rules": repetition.query,
