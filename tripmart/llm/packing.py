@@ -18,6 +18,8 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import accumulate, chain, filterfalse
+from operator import add
 from typing import NamedTuple
 
 import numpy as np
@@ -32,8 +34,10 @@ TOKENS = 2048
 SEGMENTS = 64
 #: Waiting pieces of a partition; more are packed before more are read.
 POOL = 512
-#: Words whose ids a worker remembers.
+#: Words whose ids a worker remembers, besides those of the texts at hand.
 WORDS = 400_000
+#: Texts whose new words are encoded together.
+GROUP = 128
 #: Room for the sequence numbers of one partition.
 PER_PARTITION = 1 << 40
 OUT_ROWS = 20_000
@@ -163,34 +167,37 @@ class Ids:
         self.known, self.parts = {"": b""}, {"": b""}
 
     def _encode(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > self.most:
-            self.known = {"": b""}
         if len(self.parts) > 2 * self.most:
             self.parts = {"": b""}
-        split = []
+        firsts, seconds = [], []
         for word in words:
             plain = _PLAIN.fullmatch(word)
-            split.append((plain[1].lower(), plain[2]) if plain else (word, ""))
-        new = list({p for pair in split for p in pair if p not in self.parts})
-        for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.parts[part] = np.array(found.ids, "<u4").tobytes()
-        for word, (first, second) in zip(words, split, strict=True):
-            self.known[word] = self.parts[first] + self.parts[second]
+            if plain:
+                first, second = plain.groups()
+                firsts.append(first.lower())
+                seconds.append(second)
+            else:
+                firsts.append(word)
+                seconds.append("")
+        new = list(filterfalse(self.parts.__contains__, {*firsts, *seconds}))
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        packed = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
+        ends = [4 * n for n in accumulate(map(len, found))]
+        self.parts.update(zip(new, map(packed.__getitem__, map(slice, [0, *ends], ends)), strict=False))
+        part = self.parts.__getitem__
+        self.known.update(zip(words, map(add, map(part, firsts), map(part, seconds)), strict=True))
 
     def of(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of each text, little-endian unsigned 32-bit, with END_ID."""
         end = np.array([END_ID], "<u4").tobytes()
-        for text in texts:
-            words = (text or "").replace("\n", " ").split(" ")
-            try:
-                found = b"".join(map(self.known.__getitem__, words))
-            except KeyError:
-                different = set(words)
-                self._encode([w for w in different if w not in self.known])
-                if not different <= self.known.keys():  # the memory was cleared
-                    self._encode(list(different - self.known.keys()))
-                found = b"".join(map(self.known.__getitem__, words))
-            yield np.frombuffer(found + end, "<u4")
+        for at in range(0, len(texts), GROUP):
+            split = [(text or "").replace("\n", " ").split(" ") for text in texts[at : at + GROUP]]
+            different = set().union(*split)
+            if len(self.known) > self.most:
+                self.known = {"": b""}
+            self._encode(list(filterfalse(self.known.__contains__, different)))
+            for words in split:
+                yield np.frombuffer(b"".join(map(self.known.__getitem__, words)) + end, "<u4")
 
 
 def pack(documents: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", limits: Limits = Limits(), pool: int = POOL) -> DataFrame:
