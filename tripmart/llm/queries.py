@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import language, mixing, packing, ranking, repetition, urls
+from tripmart.llm import jaccard, language, mixing, packing, ranking, repetition, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_packing": packing.query,
         "op3_mixing": mixing.query,
         "op4_language_id": language.query,
+        "op5_ngram_jaccard_join": jaccard.query,
         "op6_quality_rules": repetition.query,
         "op7_quality_classifier": ranking.query,
         "op9_url_filters": urls.query,
