@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import jaccard, language, mixing, packing, ranking, repetition, urls
+from tripmart.llm import jaccard, language, mixing, packing, ranking, repetition, secrets, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_secret_scans": secrets.query,
         "op2_packing": packing.query,
         "op3_mixing": mixing.query,
         "op4_language_id": language.query,
@@ -23,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_secret_scans": secrets.SQL,
         "op3_mixing": mixing.SQL,
         "op9_url_filters": urls.SQL,
     }
