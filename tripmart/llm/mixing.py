@@ -46,15 +46,15 @@ def stored(rows: DataFrame, purpose: str) -> DataFrame:
 def numbered(rows: DataFrame, key: str) -> DataFrame:
     """Adds ``number``, 0 and up, in the order of a unique key, null last, over many tasks.
 
-    Rows are cut into ranges of the key and stored with the range's number; the
-    ranges' counts, as many rows as there are partitions, are the only thing that
-    is broadcast.
+    Rows are cut into ranges of the key and stored with the range's number. The
+    ranges' counts, as many rows as there are shuffle partitions, are summed up in
+    one window and broadcast.
     """
     order = F.col(key).asc_nulls_last()
     ranged = stored(rows.repartitionByRange(order).withColumn("_range", F.spark_partition_id()), "numbered")
     sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
-    before = sizes.alias("a").join(sizes.alias("b"), F.col("b._range") < F.col("a._range"), "left")
-    before = before.groupBy(F.col("a._range").alias("_range")).agg(F.coalesce(F.sum("b._n"), F.lit(0)).alias("_before"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     within = F.row_number().over(Window.partitionBy("_range").orderBy(order)) - 1
     return ranged.join(F.broadcast(before), "_range").withColumn("number", F.col("_before") + within).drop("_range", "_before")
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import jaccard, language, mixing, packing, ranking, repetition, secrets, urls
+from tripmart.llm import jaccard, language, mixing, packing, ranking, repetition, secrets, spotsigs, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_ngram_jaccard_join": jaccard.query,
         "op6_quality_rules": repetition.query,
         "op7_quality_classifier": ranking.query,
+        "op8_document_fingerprints": spotsigs.query,
         "op9_url_filters": urls.query,
     }
 
@@ -26,5 +27,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_secret_scans": secrets.SQL,
         "op3_mixing": mixing.SQL,
+        "op8_document_fingerprints": spotsigs.SQL,
         "op9_url_filters": urls.SQL,
     }
