@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import jaccard, language, mixing, packing, ranking, repetition, secrets, spotsigs, urls
+from tripmart.llm import jaccard, language, mixing, packing, quotes, ranking, repetition, secrets, spotsigs, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_quality_classifier": ranking.query,
         "op8_document_fingerprints": spotsigs.query,
         "op9_url_filters": urls.query,
+        "op10_quotation_linking": quotes.query,
     }
 
 
@@ -29,4 +30,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_mixing": mixing.SQL,
         "op8_document_fingerprints": spotsigs.SQL,
         "op9_url_filters": urls.SQL,
+        "op10_quotation_linking": quotes.SQL,
     }
