@@ -1,11 +1,56 @@
-"""The corpus pipeline: documents to packed training sequences in five stages."""
+"""The corpus pipeline: documents to packed training sequences in five stages.
+
+Each stage takes what the one before kept and returns the columns of documents;
+the last returns the pieces of the packed sequences. No stage but the last can be
+expressed for SQL alone, so there is no SQL of the whole.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tripmart.llm import jaccard, mixing, packing, ranking, secrets
 
-STAGES = []
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return ranking.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones stays."""
+    return jaccard.deduplicated(docs)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; all documents stay."""
+    return secrets.redacted(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources are brought to their target weights; documents repeat or go."""
+    return mixing.mixed(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of training sequences."""
+    return packing.pack(docs, packing.tokenizer_path())
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("n-gram Jaccard join", near_duplicates),
+    ("secret scans", secret_scan),
+    ("mixing", mixture),
+    ("packing", packed),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each but the last is stored before the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = mixing.stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

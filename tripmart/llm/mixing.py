@@ -196,6 +196,35 @@ def quotas(cells: DataFrame, weights=WEIGHTS, most: int = MOST, block: int = BLO
     return by_shard.select("source", "source_size", "target", "c.shard", "c.seats")
 
 
+def _sized(documents: DataFrame, shards: int, seed: str) -> DataFrame:
+    """Documents with ``_size``, ``_order``, their place in the seeded order, and ``_shard``."""
+    text = F.md5(F.coalesce(F.col("text"), F.lit("")))
+    order = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text))
+    rows = documents.withColumn("_size", word_count(F.col("text"))).withColumn("_order", order)
+    return rows.withColumn("_shard", F.conv(F.substring("_order", 1, 4), 16, 10).cast("int") % shards)
+
+
+def _planned(rows: DataFrame, weights: tuple[int, ...], most: int, block: int) -> DataFrame:
+    """What each shard of each source takes; ``rows`` are stored sizes."""
+    cells = stored(rows.groupBy("source", F.col("_shard").alias("shard")).agg(F.sum("_size").alias("words")), "cells")
+    own = cells.select(F.col("source").alias("_s"), F.col("shard").alias("_h"), "words")
+    plan = quotas(cells, weights, most, block).join(own, F.col("source").eqNullSafe(F.col("_s")) & (F.col("shard") == F.col("_h"))).drop("_s", "_h")
+    return stored(plan, "plan").select(
+        F.col("source").alias("_s"), F.col("shard").alias("_h"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.col("words").alias("_words"), (F.col("seats") * block).alias("_take")
+    )
+
+
+def _taken(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """``rows`` with ``_taken``: full passes over the shard, and the start of one more."""
+    stream = Window.partitionBy("source", "_shard").orderBy("_order").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.withColumn("_before", F.coalesce(F.sum("_size").over(stream), F.lit(0)))
+    joined = placed.join(plan, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_shard") == F.col("_h")))
+    passes = F.when(F.col("_words") > 0, F.floor(F.col("_take") / F.col("_words"))).otherwise(0)
+    rest = F.col("_take") - passes * F.col("_words")
+    partly = F.greatest(F.lit(0), F.least(F.col("_before") + F.col("_size"), rest) - F.col("_before"))
+    return joined.withColumn("_taken", (passes * F.col("_size") + partly).cast("long"))
+
+
 def mix(
     documents: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
@@ -211,21 +240,55 @@ def mix(
     seeded order, so each is taken in its turn. Empty input gives no rows. Extra
     columns are ignored. A source without words has target 0.
     """
-    rows = documents.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("_text"))
-    order = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("_text")))
-    rows = rows.withColumn("_order", order).drop("_text").withColumn("shard", F.conv(F.substring("_order", 1, 4), 16, 10).cast("int") % shards)
-    rows = stored(rows, "sizes")
-    cells = stored(rows.groupBy("source", "shard").agg(F.sum("size").alias("words")), "cells")
-    plan = quotas(cells, weights, most, block).join(cells.select(F.col("source").alias("_s"), F.col("shard").alias("_h"), "words"), F.col("source").eqNullSafe(F.col("_s")) & (F.col("shard") == F.col("_h"))).drop("_s", "_h")
-    plan = stored(plan, "plan").select(F.col("source").alias("_s"), F.col("shard").alias("_h"), "source_size", "target", "words", (F.col("seats") * block).alias("_take"))
-    stream = Window.partitionBy("source", "shard").orderBy("_order").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("_before", F.coalesce(F.sum("size").over(stream), F.lit(0)))
-    joined = placed.join(plan, F.col("source").eqNullSafe(F.col("_s")) & (F.col("shard") == F.col("_h")))
-    passes = F.when(F.col("words") > 0, F.floor(F.col("_take") / F.col("words"))).otherwise(0)
-    rest = F.col("_take") - passes * F.col("words")
-    partly = F.greatest(F.lit(0), F.least(F.col("_before") + F.col("size"), rest) - F.col("_before"))
-    taken = (passes * F.col("size") + partly).cast("long")
-    return joined.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "shard")
+    rows = stored(_sized(documents.select("doc_id", "source", "text"), shards, seed).drop("text"), "sizes")
+    taken = _taken(rows, _planned(rows, weights, most, block))
+    names = {"_size": "size", "_source_size": "source_size", "_target": "target", "_taken": "taken", "_shard": "shard"}
+    return taken.select("doc_id", "source", *(F.col(c).alias(name) for c, name in names.items()))
+
+
+def first_words(text: Column, number: Column) -> Column:
+    """A text up to the end of its word of that number, white space as it was."""
+    gaps, found = F.split(text, WORD, -1), F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+
+    def together(parts: Column) -> Column:
+        return F.aggregate(F.slice(parts, F.lit(1), number.cast("int")), F.lit(0), lambda n, p: n + F.length(p))
+
+    return F.substring(text, F.lit(1), together(gaps) + together(found))
+
+
+def mixed(
+    documents: DataFrame,
+    weights: tuple[int, ...] = WEIGHTS,
+    most: int = MOST,
+    block: int = BLOCK_WORDS,
+    shards: int = SHARDS,
+    seed: str = SEED,
+) -> DataFrame:
+    """The documents that the mix is made of, with the columns of ``documents``.
+
+    A document is a row for each time it is taken whole, and one that holds its
+    first words if it is taken partly; ``n_chars`` follows the text if it is there.
+    Documents of which nothing is taken, those without words among them, go.
+    """
+    sizes = stored(_sized(documents.select("doc_id", "source", "text"), shards, seed).select("source", "_shard", "_size"), "sizes")
+    # The row as one value: no name of it can clash with one of these columns.
+    rows = documents.select(F.struct("*").alias("_row"))
+    rows = _sized(rows.select("_row", F.col("_row.doc_id"), F.col("_row.source"), F.col("_row.text")), shards, seed).drop("text")
+    taken = _taken(rows, _planned(sizes, weights, most, block)).where("_taken > 0")
+    copies = F.ceil(F.col("_taken") / F.col("_size")).cast("int")
+    each = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
+    words = F.least(F.col("_size"), F.col("_taken") - (F.col("_copy") - 1) * F.col("_size"))
+    text = F.when(words < F.col("_size"), first_words(F.col("_row.text"), words)).otherwise(F.col("_row.text"))
+    return with_text(each, text, documents).select("_row.*")
+
+
+def with_text(rows: DataFrame, text: Column, documents: DataFrame) -> DataFrame:
+    """``_row`` with another text, and ``n_chars`` of it if ``documents`` has that."""
+    changed = rows.withColumn("_row", F.col("_row").withField("text", text))
+    if "n_chars" not in documents.columns:
+        return changed
+    length = F.length("_row.text").cast(documents.schema["n_chars"].dataType)
+    return changed.withColumn("_row", F.col("_row").withField("n_chars", F.when(F.col("_row.text").isNotNull(), length).otherwise(F.col("_row.n_chars"))))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tripmart.llm.mixing import with_text
+
 
 class Kind(NamedTuple):
     """A pattern, the group whose length counts, the least length, and its part."""
@@ -54,6 +56,8 @@ KINDS = [
     Kind("endpoint", r"[Hh][Tt][Tt][Pp][Ss]?://[^\x20\x09-\x0D\"'<>]+", 0, 10, "endpoint", True, "://"),
 ]
 SCOPE = 200
+#: What replaces a find.
+MARK = "[SECRET]"
 
 
 def _tried(text: Column, kind: Kind) -> Column:
@@ -133,6 +137,37 @@ def scan(documents: DataFrame, kinds: list[Kind] = KINDS, scope: int = SCOPE) ->
     return listed.select("doc_id", *names, "base", F.sha2("base", 256).alias("base_sha256"), "spans", "n_weak")
 
 
+def redacted(documents: DataFrame, kinds: list[Kind] = KINDS, scope: int = SCOPE, mark: str = MARK) -> DataFrame:
+    """``documents`` with every reported find, weak ones too, replaced by ``mark``.
+
+    All rows and columns stay; ``n_chars`` follows the text if it is there. Finds
+    that overlap are replaced together. Only texts with finds change; they are
+    known by their hash, so copies of a text are scanned into one group each and
+    joined by one row. Texts without finds need no row on that side.
+    """
+    key = F.md5(F.col("text"))
+    rows = finds(documents.select(key.alias("doc_id"), "text"), kinds, scope)
+    reported = rows.where(F.col("good") & (~F.col("weak") | F.col("linked")))
+    spans = reported.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_spans")).withColumnRenamed("doc_id", "_of")
+    whole = documents.select(F.struct("*").alias("_row")).withColumn("_key", F.md5("_row.text"))
+    joined = whole.join(spans, F.col("_key") == F.col("_of"), "left")
+
+    def merged(done: Column, span: Column) -> Column:
+        last = F.element_at(done, -1)
+        longer = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"))))
+        return F.when((F.size(done) > 0) & (F.get(done, F.size(done) - 1)["end"] > span["start"]), longer).otherwise(F.concat(done, F.array(span)))
+
+    none = F.expr("array()").cast(spans.schema["_spans"].dataType)
+    places = F.aggregate("_spans", none, lambda done, span: F.when(F.size(done) == 0, F.array(span)).otherwise(merged(done, span)))
+    changed = joined.withColumn("_places", F.when(F.col("_spans").isNotNull(), places))
+    text = F.col("_row.text")
+    ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("_places", lambda s: s["end"].cast("long")))
+    starts = F.concat(F.transform("_places", lambda s: s["start"].cast("long")), F.array(F.length(text).cast("long")))
+    kept = F.transform(F.arrays_zip(ends.alias("a"), starts.alias("b")), lambda z: F.substring(text, (z["a"] + 1).cast("int"), (z["b"] - z["a"]).cast("int")))
+    masked = F.when(F.col("_places").isNull(), text).otherwise(F.array_join(kept, mark))
+    return with_text(changed, masked, documents).select("_row.*")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``op1_secret_scans``: the finds of every document."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
