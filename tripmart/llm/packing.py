@@ -15,11 +15,9 @@ partitions; the last ones of each are cut into powers of two.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import accumulate, chain, filterfalse
-from operator import add
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -27,17 +25,15 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm.text import in_batches
+from tripmart.llm.text import SPACES, Block, Hasher, blocks, in_batches, runs
 
 END_ID = 1
 TOKENS = 2048
 SEGMENTS = 64
 #: Waiting pieces of a partition; more are packed before more are read.
 POOL = 512
-#: Words whose ids a worker remembers, besides those of the texts at hand.
-WORDS = 400_000
-#: Texts whose new words are encoded together.
-GROUP = 128
+#: Units whose ids a worker remembers, besides those of the texts at hand.
+UNITS = 500_000
 #: Room for the sequence numbers of one partition.
 PER_PARTITION = 1 << 40
 OUT_ROWS = 20_000
@@ -147,57 +143,117 @@ class Packer:
         self.emit(held)
 
 
-#: A word of Latin letters without its closing marks: its ids are those of the
-#: lower-cased letters and those of the marks, whatever the case.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_SPACE, _LETTER, _DIGIT, _MARK, _ODD = range(5)
 
 
-class Ids:
-    """Token ids of texts. Words between spaces and line ends are encoded once.
+def _kinds() -> np.ndarray:
+    """Kinds of bytes. Apostrophes join words and ``<`` may begin a special token;
+    bytes beyond ASCII are odd unless they are letters that ``_latin`` knows."""
+    out = np.full(256, _MARK, np.uint8)
+    for byte in range(128):
+        if chr(byte).isalpha():
+            out[byte] = _LETTER
+        elif chr(byte).isdigit():
+            out[byte] = _DIGIT
+    out[SPACES] = _SPACE
+    out[[ord("'"), ord("<")]] = _ODD
+    out[128:] = _ODD
+    return out
+
+
+_KIND = _kinds()
+
+
+def _latin(data: np.ndarray) -> np.ndarray:
+    """Marks both bytes of the letters U+00C0 to U+00FF."""
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
+    out = np.zeros(len(data), bool)
+    out[lead] = out[lead + 1] = True
+    return out
+
 
-    The tokenizer's pattern never joins what white space parts, nor letters and
-    marks other than apostrophes, and its normaliser looks at no neighbour across
-    them; so a text's ids are its words' ids. What is remembered is bounded.
+def units(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes, lower-cased where that is safe, and start, end and text of the units.
+
+    The tokenizer cuts at white space, around digits and between letters and other
+    marks, and its normaliser works on single characters of Latin letters; so ids
+    of a text are those of its units. A run between spaces that holds anything
+    less plain is one unit, and is left to the tokenizer as it is.
     """
+    data = block.data
+    kind = _KIND[data]
+    latin = _latin(data) if len(data) else np.zeros(0, bool)
+    kind[latin] = _LETTER
+    starts, ends, owner = runs(block, kind != _SPACE)
+    sums = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(kind == _ODD, out=sums[1:])
+    odd = sums[ends] > sums[starts]
+    plain = np.zeros(len(data) + 1, np.int8)
+    np.add.at(plain, starts[~odd], 1)
+    np.add.at(plain, ends[~odd], -1)
+    plain = np.cumsum(plain[:-1], dtype=np.int8).astype(bool)
+    opens = plain.copy()
+    opens[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    opens[starts] = True
+    first = np.flatnonzero(opens)
+    run = np.searchsorted(starts, first, "right") - 1
+    last = np.append(first[1:], 0)
+    new_run = np.append(run[1:] != run[:-1], True)
+    last[new_run] = ends[run[new_run]]
+    upper = plain & ((data >= 65) & (data <= 90) | latin & (data >= 0x80) & (data <= 0x9E))
+    return data + upper.astype(np.uint8) * np.uint8(32), first, last, owner[run]
+
 
-    def __init__(self, path: str, most: int = WORDS):
+class Ids:
+    """Token ids of texts; a unit is encoded once, while it is remembered."""
+
+    def __init__(self, path: str, most: int = UNITS):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
-        self.known, self.parts = {"": b""}, {"": b""}
-
-    def _encode(self, words: list[str]) -> None:
-        if len(self.parts) > 2 * self.most:
-            self.parts = {"": b""}
-        firsts, seconds = [], []
-        for word in words:
-            plain = _PLAIN.fullmatch(word)
-            if plain:
-                first, second = plain.groups()
-                firsts.append(first.lower())
-                seconds.append(second)
-            else:
-                firsts.append(word)
-                seconds.append("")
-        new = list(filterfalse(self.parts.__contains__, {*firsts, *seconds}))
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        packed = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
-        ends = [4 * n for n in accumulate(map(len, found))]
-        self.parts.update(zip(new, map(packed.__getitem__, map(slice, [0, *ends], ends)), strict=False))
-        part = self.parts.__getitem__
-        self.known.update(zip(words, map(add, map(part, firsts), map(part, seconds)), strict=True))
-
-    def of(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        """The ids of each text, little-endian unsigned 32-bit, with END_ID."""
-        end = np.array([END_ID], "<u4").tobytes()
-        for at in range(0, len(texts), GROUP):
-            split = [(text or "").replace("\n", " ").split(" ") for text in texts[at : at + GROUP]]
-            different = set().union(*split)
-            if len(self.known) > self.most:
-                self.known = {"": b""}
-            self._encode(list(filterfalse(self.known.__contains__, different)))
-            for words in split:
-                yield np.frombuffer(b"".join(map(self.known.__getitem__, words)) + end, "<u4")
+        self.tokenizer, self.most, self.hasher = Tokenizer.from_file(path), most, Hasher()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.slots: dict[int, int] = {}
+        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def _learn(self, hashes: list[int], texts: list[str]) -> None:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        total = int(size.sum())
+        while self.used + total > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
+        self.slots.update(zip(hashes, range(len(self.size), len(self.size) + len(found)), strict=True))
+        self.begin = np.concatenate([self.begin, self.used + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.used += total
+
+    def of(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text as unsigned 32-bit numbers, with END_ID at the end."""
+        for block in blocks(column):
+            data, starts, ends, owner = units(block)
+            hashes = self.hasher.ranges(data, starts, ends)
+            distinct, first, place = np.unique(hashes, return_index=True, return_inverse=True)
+            if len(self.slots) > self.most:
+                self._forget()
+            known = distinct.tolist()
+            new = [i for i, h in enumerate(known) if h not in self.slots]
+            if new:
+                raw = data.tobytes()
+                at = first[new]
+                self._learn([known[i] for i in new], [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
+            slot = np.fromiter(map(self.slots.__getitem__, known), np.int64, len(known))[place]
+            size = self.size[slot]
+            until = np.cumsum(size)
+            ids = self.ids[np.repeat(self.begin[slot] - until + size, size) + np.arange(int(size.sum()))]
+            cuts = np.concatenate([[0], until])[np.searchsorted(owner, np.arange(block.n + 1))]
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                out = np.empty(b - a + 1, "<u4")
+                out[:-1], out[-1] = ids[a:b], END_ID
+                yield out
 
 
 def pack(documents: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", limits: Limits = Limits(), pool: int = POOL) -> DataFrame:
@@ -237,7 +293,7 @@ def pack(documents: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
             key_type = batch.column(0).type
             ids = ids or Ids(tokenizer)
             keys = batch.column(0).to_pylist()
-            for k, found in zip(keys, ids.of(batch.column(1).to_pylist()), strict=True):
+            for k, found in zip(keys, ids.of(batch.column(1)), strict=True):
                 packer.add(Piece(k, len(found), 0, found))
                 if len(out) >= OUT_ROWS:
                     yield drained()
