@@ -196,7 +196,7 @@ def predictions(model: Model, texts: list[str | None]) -> tuple[list[str], np.nd
         rate = phrases(model, numbers, cuts) * model.rates[None, :] / np.maximum(letters, 1)[:, None]
         best = rate.argmin(axis=1)
         ordered = np.sort(rate, axis=1)
-        gain = 1 - ordered[:, 0] / ordered[:, 1] if len(model.languages) > 1 else np.ones(len(rate))
+        gain = 1 - ordered[:, 0] / np.maximum(ordered[:, 1], 1e-12) if len(model.languages) > 1 else np.ones(len(rate))
         known = letters > 0
         names[first:at][known] = np.array(model.languages, object)[best[known]]
         scores[first:at][known] = np.clip(gain[known], 0, 1)
