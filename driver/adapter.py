@@ -168,9 +168,10 @@ def zones_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+def audit(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
     """An audit of the trips: some periods are counted wrong, failed or missing."""
-    counted = trips_raw(spark, sf_dir).groupBy("source_period").agg(
+    raw = trips_raw(spark, sf_dir) if raw is None else raw
+    counted = raw.groupBy("source_period").agg(
         F.count(F.lit(1)).alias("rows"), F.max("loaded_at").alias("loaded_at")
     )
     month = F.substring("source_period", 6, 2).cast("int")

@@ -476,7 +476,11 @@ _REQUIRED = """required as (
 _PERIOD_LIST = """periods as (
     select distinct substr(cast(o_orderdate as varchar), 1, 7) as source_period from orders
     union all
-    select distinct substr(cast(l_shipdate as varchar), 1, 7) from lineitem)"""
+    select distinct substr(cast(l_shipdate as varchar), 1, 7) from lineitem
+    union all
+    select distinct substr(cast(o_orderdate as varchar), 1, 7) || chr(10) from orders
+    union all
+    select '0' || substr(m, 3, 5) from (select distinct substr(cast(o_orderdate as varchar), 1, 7) as m from orders))"""
 
 _MISMATCH = """select coalesce(b.source_period, a.source_period) as source_period,
         b.n as bronze_row_count, a.row_count as audit_row_count
@@ -639,11 +643,23 @@ def oracle_sql() -> dict[str, str]:
             from orders union all
             select '2024-02', cast(l_orderkey as varchar), cast(l_shipdate as varchar),
                 cast(l_linenumber as varchar) from lineitem""",
-        "provenance": """select '2024-01' as source_period, 'orders.parquet' as source_file, count(*) as row_count,
+        "provenance": """select '2024-01' as source_period, '2024-01/orders.parquet' as source_file, count(*) as row_count,
                 cast(0 as bigint) as first_row, count(*) - 1 as last_row,
                 cast(sum(1) * (sum(1) - 1) / 2 as double) as row_number_sum from orders
-            union all select '2024-02', 'lineitem.parquet', count(*), 0, count(*) - 1,
+            union all select '2024-02', '2024-02/lineitem.parquet', count(*), 0, count(*) - 1,
                 cast(sum(1) * (sum(1) - 1) / 2 as double) from lineitem""",
+        "folder_period": """select cast(o_orderkey as varchar) as vendor_text, cast(o_totalprice as varchar) as extra_text,
+                cast(null as varchar) as request_source, cast(null as varchar) as odd_text,
+                'VendorID,extra,odd`name,request_source,vendorid' as field_names from orders
+            union all select c_name, cast(c_acctbal as varchar), c_mktsegment, null,
+                'VendorID,extra,odd`name,request_source,vendorid' from customer
+            union all select cast(s_suppkey as varchar), null, null, s_name,
+                'VendorID,extra,odd`name,request_source,vendorid' from supplier""",
+        "same_names": """select '2024-01' as source_period, count(*) as row_count, count(*) as key_count from orders
+            union all select '2024-02', count(*), count(*) from lineitem""",
+        "file_manifest": """select unnest(['region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem',
+                'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels', 'conversations']) || '.parquet'
+                as source_file, true as has_bytes, true as has_digest, true as has_signature""",
         "period_reload": """select '2024-01' as source_period, cast(c_custkey as bigint) as record_key from customer
             union all select '2024-02', l_partkey from lineitem""",
         "zone_reload": _sql(
@@ -665,8 +681,10 @@ def oracle_sql() -> dict[str, str]:
             union all select 'other case', false, cast(null as bigint)
             union all select 'other order', false, null""",
         ),
-        "signature_check": """select 'csv' as kind, true as unsigned, count(*) > 0 as some from nation
-            union all select 'parquet', false, count(*) > 0 from nation""",
+        "signature_check": """select 'zones.csv' as source_file, true as unsigned
+            union all select unnest(['region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem',
+                'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels', 'conversations']) || '.parquet',
+                false""",
         "missing_periods": """select distinct substr(cast(l_shipdate as varchar), 1, 7) as source_period
             from lineitem where substr(cast(l_shipdate as varchar), 1, 7) not in
             (select substr(cast(o_orderdate as varchar), 1, 7) from orders)""",

@@ -11,6 +11,7 @@ from pyspark.sql.types import DecimalType
 from driver import adapter
 from driver.adapter import LIMITS, MAX_MINUTES, table
 from tripmart.functions import fields as fx
+from tripmart.functions import keys
 from tripmart.operators import checks as ck
 from tripmart.operators import dedup
 from tripmart.plans import dims, facts, reports, trip_checks, trips
@@ -55,7 +56,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips.clean(labelled(spark, sf_dir))
+    return trips.clean(stored(labelled(spark, sf_dir), "labelled"))
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +72,7 @@ def kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(trips.quality_summary(labelled(spark, sf_dir)))
+    return plain(trips.quality_summary(stored(labelled(spark, sf_dir), "labelled")))
 
 
 def dimensions(spark: SparkSession, sf_dir: str, first: str = FIRST_DAY, last: str = LAST_DAY) -> dict[str, DataFrame]:
@@ -132,13 +133,12 @@ def _columns(source: Query, *names: str) -> Query:
 
 
 def duplicate_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips.staged(labelled(spark, sf_dir)).select(*ROW, "record_hash", "duplicate_rank")
+    labels = stored(labelled(spark, sf_dir).select(*trips.ORIGIN, "record_hash"), "labelled")
+    return trips.staged(labels).select(*ROW, "record_hash", "duplicate_rank")
 
 
 def first_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = labelled(spark, sf_dir)
-    repeated = dedup.repeated_keys(labels, [trips.HASH])
-    firsts = dedup.first_copies(labels, [trips.HASH], trips.ORIGIN, repeated)
+    firsts = dedup.first_copies(labelled(spark, sf_dir), [trips.HASH], trips.ORIGIN)
     return firsts.select("record_hash", "first_copy.*")
 
 
@@ -150,7 +150,8 @@ def trips_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rank_within_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = trips.staged(labelled(spark, sf_dir), rank_within_status=True)
+    labels = stored(labelled(spark, sf_dir).select(*trips.ORIGIN, "record_hash", "dq_status"), "labelled")
+    ranked = trips.staged(labels, rank_within_status=True)
     return (
         ranked.filter(F.col("dq_status") == trips.PASS)
         .groupBy("record_hash")
@@ -243,8 +244,11 @@ def check_no_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def check_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts_ = stored(fact(spark, sf_dir), "fact")
-    raw, audit = adapter.trips_raw(spark, sf_dir), stored(adapter.audit(spark, sf_dir), "audit")
+    # The raw trips are made once and read by the labels, the audit and its check.
+    raw = stored(adapter.trips_raw(spark, sf_dir), "raw")
+    labels = stored(trips.labelled(raw, LIMITS), "labelled")
+    facts_ = stored(facts.fct_trips(trips.clean(labels), zones(spark, sf_dir)), "fact")
+    audit = stored(adapter.audit(spark, sf_dir, raw), "audit")
     checks = [
         *trip_checks.column_checks({"fct_trips": facts_}),
         ck.References(facts_, trip_checks.references(short_dimensions(spark, sf_dir))),
@@ -323,10 +327,43 @@ def provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def folder_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One period of several files that differ in names, types and number of columns."""
+    folder = shared_dir(spark, "landing")
+    parts = [
+        table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("VendorID"), F.col("o_totalprice").alias("extra")),
+        table(spark, sf_dir, "customer").select(
+            F.col("c_name").alias("vendorid"), F.col("c_acctbal").cast("string").alias("extra"), F.col("c_mktsegment").alias("request_source")
+        ),
+        table(spark, sf_dir, "supplier").select(F.col("s_name").alias("odd`name"), F.col("s_suppkey").alias("VendorID")),
+    ]
+    for rows in parts:
+        rows.write.mode("append").parquet(folder)
+    lake = Lake(spark, shared_dir(spark, "lake"))
+    lake.load_period(folder, "2024-01")
+    names = lake.field_names(TRIPS)
+    wanted = {"vendor_text": "VENDORID", "extra_text": "extra", "request_source": "request_source", "odd_text": "odd`name"}
+    return fx.extract_fields(lake.raw(TRIPS), "raw_record", wanted, names).select(
+        *wanted, F.lit(",".join(names)).alias("field_names")
+    )
+
+
+def same_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two periods whose files have one name: keys made of file and row stay unique."""
+    lake = Lake(spark, shared_dir(spark, "lake"))
+    for period, name in (("2024-01", "orders"), ("2024-02", "lineitem")):
+        folder = shared_dir(spark, "landing")
+        table(spark, sf_dir, name).coalesce(1).write.parquet(folder)
+        lake.load_period(folder, period)
+    key = keys.surrogate_key(F.col("source_file"), F.col("source_row_number"))
+    counted = lake.raw(TRIPS).select("source_period", key.alias("trip_sk"))
+    return counted.groupBy("source_period").agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("trip_sk").alias("key_count"))
+
+
 def period_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _reloaded(spark, sf_dir)
-    keys = {"customer_key": "c_custkey", "part_key": "l_partkey"}
-    return fx.extract_fields(lake.raw(TRIPS), "raw_record", keys, lake.field_names(TRIPS)).select(
+    wanted = {"customer_key": "c_custkey", "part_key": "l_partkey"}
+    return fx.extract_fields(lake.raw(TRIPS), "raw_record", wanted, lake.field_names(TRIPS)).select(
         "source_period", F.coalesce("customer_key", "part_key").cast("long").alias("record_key")
     )
 
@@ -408,22 +445,25 @@ def header_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return landing.manifest(spark, f"{sf_dir}/*.parquet").drop("path")
+    """Each given table as a file: its name, whether it has bytes, digest and signature."""
+    files = landing.manifest(spark, f"{sf_dir}/*.parquet")
+    table_name = F.element_at(F.split(F.col("path"), "/"), -1)
+    return files.select(
+        table_name.alias("source_file"),
+        (F.col("byte_count") > 0).alias("has_bytes"),
+        (F.length("file_sha256") == 64).alias("has_digest"),
+        "has_signature",
+    )
 
 
 def signature_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     csv = _zone_csv(spark, sf_dir)
     files = landing.manifest(spark, csv, f"{sf_dir}/*.parquet")
-    kind = F.element_at(F.split("source_file", r"\."), -1).alias("kind")
     unsigned = landing.unsigned_files(files).select("source_file").distinct().withColumn("unsigned", F.lit(True))
-    return (
-        files.join(unsigned, "source_file", "left")
-        .groupBy(kind)
-        .agg(
-            F.bool_or(F.coalesce("unsigned", F.lit(False))).alias("unsigned"),
-            (F.count(F.lit(1)) > 0).alias("some"),
-        )
-    )
+    # The name of the CSV file is the writer's; one file stands for its kind.
+    name = F.when(F.col("source_file").endswith(".csv"), "zones.csv").otherwise(F.col("source_file"))
+    joined = files.join(unsigned, "source_file", "left")
+    return joined.select(name.alias("source_file"), F.coalesce("unsigned", F.lit(False)).alias("unsigned")).distinct()
 
 
 def missing_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -431,7 +471,10 @@ def missing_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def period_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return landing.bad_periods(order_months(spark, sf_dir).unionByName(ship_months(spark, sf_dir)))
+    months = order_months(spark, sf_dir).unionByName(ship_months(spark, sf_dir))
+    # Forms that look right at a glance: a line break, and a year without its century.
+    broken = order_months(spark, sf_dir).select(F.explode(F.array(F.concat("source_period", F.lit("\n")), F.concat(F.lit("0"), F.substring("source_period", 3, 5)))).alias("source_period"))
+    return landing.bad_periods(months.unionByName(broken))
 
 
 def queries() -> dict[str, Query]:
@@ -489,6 +532,8 @@ def queries() -> dict[str, Query]:
         "kpi_listing": lambda spark, sf_dir: reports.kpi_listing(kpis(spark, sf_dir)),
         "raw_capture": raw_capture,
         "provenance": provenance,
+        "folder_period": folder_period,
+        "same_names": same_names,
         "period_reload": period_reload,
         "zone_reload": zone_reload,
         "audit_upsert": audit_upsert,

@@ -43,7 +43,7 @@ def lake(spark, tmp_path):
 # Landing
 
 
-def test_manifest_small_and_chunked_agree(spark, tmp_path):
+def test_manifest_facts(spark, tmp_path):
     blobs = {"a.parquet": b"PAR1" + os.urandom(100_000) + b"PAR1", "b.parquet": b"PAR1PAR", "c.parquet": b"PAR1" * 2,
              "d.bin": b"x" * 50}
     for name, blob in blobs.items():
@@ -51,15 +51,33 @@ def test_manifest_small_and_chunked_agree(spark, tmp_path):
     expected = {
         (n, len(b), hashlib.sha256(b).hexdigest(), n in ("a.parquet", "c.parquet")) for n, b in blobs.items()
     }
-    for limit in (landing.WHOLE_FILE_BYTES, 10, -1):
-        rows = landing.manifest(spark, str(tmp_path), whole_file_bytes=limit).collect()
-        assert {(r.source_file, r.byte_count, r.file_sha256, r.has_signature) for r in rows} == expected
+    rows = landing.manifest(spark, str(tmp_path)).collect()
+    assert {(r.source_file, r.byte_count, r.file_sha256, r.has_signature) for r in rows} == expected
+
+
+def test_origins_of_files_and_folders_at_once(spark, tmp_path):
+    (tmp_path / "p").mkdir()
+    blobs = {tmp_path / "p" / f"{i}.parquet": b"PAR1" + bytes([i]) * 20 + b"PAR1" for i in range(30)}
+    blobs[tmp_path / "one.parquet"] = b"PAR1PAR1"
+    for path, blob in blobs.items():
+        write(path, blob, "wb")
+    found = landing.origins(spark, {"a": str(tmp_path / "p"), "b": str(tmp_path / "one.parquet")})
+    assert (found["a"].source_file, found["a"].byte_count, found["a"].has_signature) == ("p", 30 * 28, True)
+    assert found["b"].file_sha256 == hashlib.sha256(b"PAR1PAR1").hexdigest()
+    digests = sorted(hashlib.sha256(b).hexdigest() for p, b in blobs.items() if p.parent.name == "p")
+    groups = {d[:3]: [] for d in digests}
+    for d in digests:
+        groups[d[:3]].append(d)
+    joined = ",".join(hashlib.sha256(",".join(g).encode()).hexdigest() for _, g in sorted(groups.items()))
+    assert found["a"].file_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+    assert landing.origins(spark, {}) == {}
 
 
 def test_bad_periods(spark):
-    df = spark.createDataFrame([("2025-01",), ("2025-01",), ("1999-01",), ("2025-13",), (None,), ("2025-02",)], "source_period string")
+    df = spark.createDataFrame([("2025-01",), ("2025-01",), ("1999-01",), ("2025-13",), (None,), ("2025-02",), ("2025-03\n",), ("0701",)], "source_period string")
     got = {r.source_period: (r.malformed, r.repeated) for r in landing.bad_periods(df).collect()}
-    assert got == {"2025-01": (False, True), "1999-01": (True, False), "2025-13": (True, False), None: (True, False)}
+    assert got == {"2025-01": (False, True), "1999-01": (True, False), "2025-13": (True, False), None: (True, False),
+                   "2025-03\n": (True, False), "0701": (True, False)}
 
 
 def test_checked_periods():
@@ -153,7 +171,7 @@ def test_audit_facts(spark, lake, tmp_path):
     assert (row.source_url, row.source_file, row.byte_count) == ("somewhere", name, len(blob))
     assert row.file_sha256 == hashlib.sha256(blob).hexdigest()
     raw = lake.raw(TRIPS).first()
-    assert (raw.source_file, raw.source_row_number, raw.source_period) == (name, 0, "2025-01")
+    assert (raw.source_file, raw.source_row_number, raw.source_period) == (f"2025-01/{name}", 0, "2025-01")
 
 
 def test_period_of_several_files(spark, lake, tmp_path):
@@ -219,6 +237,44 @@ def test_drifted_files_load_side_by_side(spark, lake, tmp_path):
     assert {r.v for r in kept} == {None, 1.5}
 
 
+def test_files_of_one_period_keep_their_own_columns(spark, lake, tmp_path):
+    folder = tmp_path / "p"
+    spark.sql("SELECT 1 AS VendorID, 'a' AS extra").coalesce(1).write.parquet(str(folder))
+    spark.sql("SELECT '2' AS VendorID, 1.5D AS extra, 'web' AS request_source").coalesce(1).write.mode("append").parquet(str(folder))
+    assert lake.load_period(str(folder), "2025-01").row_count == 2
+    assert lake.field_names(TRIPS) == ["VendorID", "extra", "request_source"]
+    got = lake.raw(TRIPS).selectExpr("to_json(raw_record) r").collect()
+    assert {r.r for r in got} == {'{"VendorID":1,"extra":"a"}', '{"VendorID":"2","extra":1.5,"request_source":"web"}'}
+
+
+def test_any_column_name_is_captured(spark, lake, tmp_path):
+    cased = spark.newSession()
+    cased.conf.set("spark.sql.caseSensitive", "true")
+    path = str(tmp_path / "odd")
+    cased.sql("SELECT 1 AS VendorID, 2 AS vendorid, 3 AS `a``b`, 4 AS `c.d`").write.parquet(path)
+    lake.load_period(path, "2025-01")
+    assert lake.raw(TRIPS).selectExpr("to_json(raw_record) r").first().r == '{"VendorID":1,"a`b":3,"c.d":4,"vendorid":2}'
+
+
+def test_equal_file_names_of_two_periods_differ(spark, lake, tmp_path):
+    blob = land(spark.range(3), tmp_path / "x")
+    file = next(f for f in os.listdir(blob) if f.endswith(".parquet"))
+    for period in ("2025-01", "2025-02"):
+        (tmp_path / period).mkdir()
+        write(tmp_path / period / "data_0.parquet", open(f"{blob}/{file}", "rb").read(), "wb")
+        lake.load_period(str(tmp_path / period), period)
+    assert lake.raw(TRIPS).select("source_file", "source_row_number").distinct().count() == 6
+    assert {r.source_file for r in lake.raw(TRIPS).collect()} == {"2025-01/data_0.parquet", "2025-02/data_0.parquet"}
+
+
+def test_a_period_is_text_of_its_form(spark, lake, tmp_path):
+    path = land(spark.range(1), tmp_path / "x")
+    for period in ("0701", "2025-01\n", "2025-1"):
+        with pytest.raises(ValueError):
+            lake.load_period(path, period)
+    assert spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled") == "false"
+
+
 def test_lookup_reload_replaces_everything(spark, lake, tmp_path):
     lake.load_lookup(write(tmp_path / "a.csv", HEADER + "1,a,b,c\n2,a,b,c\n"))
     lake.load_lookup(write(tmp_path / "b.csv", HEADER + "3,x,y,z\n"))
@@ -272,9 +328,11 @@ def test_run_and_rerun(spark, lake, tmp_path):
     assert (summary["2025-01"].raw_row_count, summary["2025-01"].exact_duplicate_count) == (23, 13)
     assert summary["2025-01"].missing_timestamp_count == 1
 
-    window = build.Options(periods=list(files), required_periods=list(files), broadcast_rows=-1)
-    build.run(lake, files, zones, window)
+    build.run(lake, files, zones, options)
     assert snapshot(lake) == first
+    removed = lake.remove_replaced()
+    assert len(removed) == 3 + 7 + len(build.DIMENSIONS) and lake.remove_replaced() == []
+    assert snapshot(lake) == first and lake.raw(TRIPS).count() == 28
 
     reports = build.acceptance(lake)
     assert [tuple(r) for r in reports["loads_per_dataset"].collect()] == [(ZONES, 1, 2), (TRIPS, 2, 28)]
@@ -287,7 +345,7 @@ def test_run_and_rerun(spark, lake, tmp_path):
         "GOLD.FCT_TRIPS": 14,
     }
     assert reports["repeated_trip_keys"].count() == 0
-    ranks = build.staging(lake, options.limits)
+    ranks = build.staging(lake)
     assert ranks.count() == 28 and ranks.filter("duplicate_rank > 1").count() == 13
 
 

@@ -157,18 +157,23 @@ def test_rank_does_not_depend_on_row_order(spark):
     assert set(trips.staged(labels).select(*key).collect()) == set(trips.staged(shuffled).select(*key).collect())
 
 
-def test_index_and_window_agree(spark):
+def test_first_copies_and_flags(spark):
     labels = messy(spark, 6)
-    repeated = dedup.repeated_keys(labels, [trips.HASH])
-    firsts = dedup.first_copies(labels, [trips.HASH], trips.ORIGIN, repeated)
-    flagged = dedup.flag_first(labels, [trips.HASH], trips.ORIGIN, F.broadcast(firsts), "is_first_copy")
+    firsts = dedup.first_copies(labels, [trips.HASH], trips.ORIGIN)
     ranks = brute_ranks(labels.collect())
-    for r in flagged.collect():
+    for r in trips.flagged(labels, firsts).collect():
         place = (r.source_period, r.source_file, r.source_row_number)
         assert r.is_first_copy == (ranks[place] == 1)
-    by_index = trips.accepted(flagged.filter("is_first_copy"))
-    assert set(by_index.collect()) == set(trips.clean(labels).collect())
-    assert set(trips.quality_summary(labels).collect()) == set(trips.quality_summary_of_flagged(flagged).collect())
+    repeated = {r.record_hash for r in dedup.repeated_keys(labels, [trips.HASH]).collect()}
+    assert {r.record_hash for r in firsts.collect()} == repeated
+
+
+def test_record_twice_is_one_accepted_and_one_duplicate(spark):
+    rows = [{"source_file": "2025-01/day=1/data_0.parquet"}, {"source_file": "2025-01/day=2/data_0.parquet"}]
+    labels = trips.labelled(texts(spark, rows).withColumn("source_row_number", F.lit(0).cast("long")))
+    assert trips.clean(labels).count() == 1
+    row = trips.quality_summary(labels).first()
+    assert (row.raw_row_count, row.usable_row_count, row.exact_duplicate_count) == (2, 1, 1)
 
 
 def test_clean_equals_rank_over_all_rows(spark):
@@ -201,7 +206,8 @@ def test_summary_counts_add_up(spark):
         assert float(r.usable_percentage) == pytest.approx(100 * r.usable_row_count / r.raw_row_count, abs=0.005)
 
 
-def test_hot_record_is_limited_before_the_shuffle(spark):
-    plan = trips.clean(trips.labelled(texts(spark, [{}])))._jdf.queryExecution().executedPlan().toString()
-    partial = plan.index("row_number(), 1, Partial")
-    assert plan.index("row_number(), 1, Final") < plan.index("Exchange") < partial
+def test_hot_record_is_reduced_before_the_shuffle(spark):
+    firsts = dedup.first_copies(trips.labelled(texts(spark, [{}])), [trips.HASH], trips.ORIGIN)
+    plan = firsts._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("functions=[count(1), min(") < plan.index("Exchange") < plan.index("partial_count(1), partial_min(")
+    assert "Join" not in plan

@@ -6,9 +6,10 @@ task:
 
 * ``keep_first`` filters a row number to 1. Spark limits each group before the
   shuffle, so a map task sends at most one row per record.
-* ``repeated_keys`` and ``first_copies`` are aggregations with a partial step.
-* ``duplicate_rank`` needs every rank. It numbers rows inside bounded blocks of
-  a record and adds the sizes of the blocks before.
+* ``repeated_keys`` and ``first_copies`` are aggregations with a partial step
+  directly over the rows.
+* ``duplicate_rank`` needs every rank. It numbers the repeated records' origins
+  inside bounded blocks of a record and adds the sizes of the blocks before.
 """
 
 from __future__ import annotations
@@ -41,15 +42,16 @@ def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
-def first_copies(
-    df: DataFrame, key: Sequence[str], order: Sequence[str], repeated: DataFrame
-) -> DataFrame:
-    """First row, as a struct of the ``order`` columns, of each repeated key."""
+def first_copies(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """First row, as a struct of the ``order`` columns, of each key held by several rows.
+
+    One aggregation: each task sends one row per key, however often it repeats.
+    """
     return (
-        df.select(*key, *order)
-        .join(repeated.select(*key), list(key), "left_semi")
-        .groupBy(*key)
-        .agg(F.min(F.struct(*order)).alias("first_copy"))
+        df.groupBy(*key)
+        .agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct(*order)).alias("first_copy"))
+        .filter(F.col("copies") > 1)
+        .select(*key, "first_copy")
     )
 
 
@@ -58,7 +60,7 @@ def flag_first(
 ) -> DataFrame:
     """Mark the first row of each key. Keys missing in ``firsts`` occur once.
 
-    When ``firsts`` is broadcast, no row of ``df`` is shuffled.
+    The ``order`` columns tell all rows apart. The join is left to the planner.
     """
     own = F.struct(*order)
     return (
@@ -77,14 +79,19 @@ def duplicate_rank(
 ) -> DataFrame:
     """Number all rows of each key in ``order``; the last order column is a number.
 
-    A block is a stretch of ``block_rows`` numbers under equal leading order
-    columns, so no window group is larger than that, however often a record
-    repeats. Only the block sizes are then ordered per key.
+    A key that occurs once has rank 1, so only the key and order columns of
+    repeated keys are numbered; the ranks then meet the rows. ``order`` tells the
+    rows of a key apart. A block is a stretch of ``block_rows`` numbers under equal
+    leading order columns, so no window group is larger than that, however often a
+    record repeats. Only the block sizes are then ordered per key. ``df`` is read
+    three times: store it before.
     """
     *lead, row = order
     block, before, local = "__block", "__before", "__local"
     blocks = [*lead, block]
-    numbered = df.withColumn(block, F.expr(f"`{row}` div {block_rows}"))
+    several = repeated_keys(df, key).select(*key)
+    numbered = df.select(*key, *order).join(several, list(key), "left_semi")
+    numbered = numbered.withColumn(block, F.expr(f"`{row}` div {block_rows}"))
     inside = Window.partitionBy(*key, *blocks).orderBy(F.col(row).asc_nulls_last())
     earlier = (
         Window.partitionBy(*key)
@@ -98,9 +105,10 @@ def duplicate_rank(
         .filter(F.col(before) > 0)
         .drop("__size")
     )
-    return (
+    ranks = (
         numbered.withColumn(local, F.row_number().over(inside))
         .join(offsets, [*key, *blocks], "left")
         .withColumn(into, (F.col(local) + F.coalesce(F.col(before), F.lit(0))).cast("long"))
-        .drop(block, before, local)
+        .select(*key, *order, into)
     )
+    return df.join(ranks, [*key, *order], "left").withColumn(into, F.coalesce(F.col(into), F.lit(1).cast("long")))

@@ -9,18 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.operators.checks import evaluate, gate, run_checks
-from tripmart.operators.dedup import first_copies, flag_first, repeated_keys
+from tripmart.operators.dedup import first_copies
 from tripmart.plans import dims, facts, reports, trip_checks, trips
 from tripmart.sources import landing
 from tripmart.sources.inline import values
 from tripmart.sources.lake import TRIPS, ZONES, Lake
 
-# First copies are broadcast up to this many rows, about 150 bytes each.
-BROADCAST_ROWS = 500_000
-
 # Names of the rebuilt tables.
 LABELLED = "silver.trips_labelled"
-REPEATED = "silver.repeated_records"
 FIRSTS = "silver.first_copies"
 CLEAN = "silver.trips_clean"
 ZONE_TABLE = "silver.zones_clean"
@@ -41,23 +37,26 @@ class Options:
     limits: trips.Limits = field(default_factory=trips.Limits)
     first_day: str = dims.FIRST_DAY
     last_day: str = dims.LAST_DAY
-    broadcast_rows: int = BROADCAST_ROWS
 
 
 def load_all(
     lake: Lake, landed: Mapping[str, str], lookup: str, periods: Sequence[str], strict: bool = True
 ) -> list[str]:
-    """Load the lookup, then each period; a failure keeps the loads before it."""
+    """Load the lookup, then each period; a failure keeps the loads before it.
+
+    All landed files are hashed by one job before the first load.
+    """
     wanted = landing.checked_periods(periods, list(landed), strict)
+    origins = landing.origins(lake.spark, {period: landed[period] for period in wanted})
     lake.load_lookup(lookup)
     for period in wanted:
-        lake.load_period(landed[period], period)
+        lake.load_period(landed[period], period, origin=origins[period])
     return wanted
 
 
-def staging(lake: Lake, limits: trips.Limits = trips.Limits()) -> DataFrame:
-    """Every raw row typed, classified and ranked, as a view over the lake."""
-    return trips.staged(_labels(lake, limits))
+def staging(lake: Lake) -> DataFrame:
+    """Every raw row typed, classified and ranked, as a view over the labelled table."""
+    return trips.staged(lake.table(LABELLED))
 
 
 def _labels(lake: Lake, limits: trips.Limits) -> DataFrame:
@@ -72,25 +71,16 @@ def build_labels(lake: Lake, options: Options = Options()) -> None:
 def build_silver(lake: Lake, options: Options = Options()) -> None:
     """Accepted trips, zones and the quality summary.
 
-    Repeated records are found with a shuffle of hashes and counts only. If
-    their first copies fit a broadcast, accepted trips and the summary come
-    from scans without any shuffle of trips. Otherwise a window decides.
+    First copies of repeated records are stored once; both tables come from one
+    join of the labelled rows to them, which the planner broadcasts if it fits.
     """
     labels = lake.table(LABELLED)
-    lake.write_table(REPEATED, repeated_keys(labels, [trips.HASH]))
-    count = lake.write_table(
-        FIRSTS, first_copies(labels, [trips.HASH], trips.ORIGIN, lake.table(REPEATED))
+    lake.write_table(FIRSTS, first_copies(labels, [trips.HASH], trips.ORIGIN))
+    flagged = trips.flagged(labels, lake.table(FIRSTS))
+    lake.write_table(
+        CLEAN, trips.accepted(flagged.filter("is_first_copy")), partition_by="source_period", rebalance=True
     )
-    if count <= options.broadcast_rows:
-        firsts = F.broadcast(lake.table(FIRSTS))
-        flagged = flag_first(labels, [trips.HASH], trips.ORIGIN, firsts, "is_first_copy")
-        lake.write_table(
-            CLEAN, trips.accepted(flagged.filter("is_first_copy")), partition_by="source_period"
-        )
-        lake.write_table(SUMMARY, trips.quality_summary_of_flagged(flagged))
-    else:
-        lake.write_table(CLEAN, trips.clean(labels), partition_by="source_period", rebalance=True)
-        lake.write_table(SUMMARY, trips.quality_summary(labels))
+    lake.write_table(SUMMARY, trips.quality_summary_of_flagged(flagged))
     lake.write_table(ZONE_TABLE, dims.zones_clean(lake.raw(ZONES)))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tripmart.functions import fields as fx
 from tripmart.functions import keys, measures
 from tripmart.operators.classify import Rule, classify, twin_statuses
-from tripmart.operators.dedup import duplicate_rank, keep_first
+from tripmart.operators.dedup import duplicate_rank, first_copies, flag_first
 
 # Source field per text column.
 FIELDS = {
@@ -182,23 +182,28 @@ def staged(labels: DataFrame, rank_within_status: bool = False) -> DataFrame:
     return duplicate_rank(labels, key, ORIGIN)
 
 
-def in_order() -> list:
-    return [F.col(c).asc_nulls_last() for c in ORIGIN]
+def flagged(labels: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
+    """Labelled rows that know whether they are the first copy of their record.
+
+    ``firsts`` may bring the stored first copies of the repeated records.
+    """
+    firsts = first_copies(labels, [HASH], ORIGIN) if firsts is None else firsts
+    return flag_first(labels, [HASH], ORIGIN, firsts, "is_first_copy")
 
 
 def clean(labels: DataFrame, rank_within_status: bool = False) -> DataFrame:
     """Accepted trips: status PASS and the first copy of the record.
 
     Only rows that can share a record with an accepted row are compared, so
-    rejected rows are dropped before the shuffle.
+    rejected rows are dropped first. Reads ``labels`` twice: store them before.
     """
     statuses = [PASS] if rank_within_status else twin_statuses(rules(), PASS)
     candidates = labels.filter(F.col("dq_status").isin(*statuses))
-    return accepted(keep_first(candidates.select("dq_status", *CLEAN_COLUMNS), [HASH], in_order()))
+    return accepted(flagged(candidates).filter("is_first_copy"))
 
 
-def accepted(first_copies: DataFrame) -> DataFrame:
-    return first_copies.filter(F.col("dq_status") == PASS).select(*CLEAN_COLUMNS)
+def accepted(firsts: DataFrame) -> DataFrame:
+    return firsts.filter(F.col("dq_status") == PASS).select(*CLEAN_COLUMNS)
 
 
 def _status_count(status: str):
@@ -245,33 +250,12 @@ def _summary(counts: DataFrame) -> DataFrame:
 
 
 def quality_summary(labels: DataFrame) -> DataFrame:
-    """Accepted, rejected and anomalous rows per period.
-
-    The rank matters only as first or not first. Rows per period need no
-    shuffle beyond their partial counts; first copies come from the narrow
-    order columns, limited per map task. The two meet at one row per period.
-    """
-    totals = labels.groupBy("source_period").agg(*_row_counts())
-    firsts = (
-        keep_first(labels.select(HASH, *ORIGIN, "dq_status"), [HASH], in_order())
-        .groupBy("source_period")
-        .agg(
-            F.count(F.lit(1)).alias("first_count"),
-            _status_count(PASS).alias("usable"),
-        )
-    )
-    return _summary(
-        totals.join(firsts, "source_period", "left")
-        .withColumn("usable_row_count", F.coalesce("usable", F.lit(0).cast("long")))
-        .withColumn(
-            "exact_duplicate_count",
-            F.col("raw_row_count") - F.coalesce("first_count", F.lit(0).cast("long")),
-        )
-    )
+    """Accepted, rejected and anomalous rows per period; reads ``labels`` twice."""
+    return quality_summary_of_flagged(flagged(labels))
 
 
 def quality_summary_of_flagged(flagged: DataFrame, first: str = "is_first_copy") -> DataFrame:
-    """The same summary from rows that already know whether they come first."""
+    """The summary of rows that know whether they come first."""
     return _summary(
         flagged.groupBy("source_period").agg(
             *_row_counts(),

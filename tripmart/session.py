@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A period is text, whatever it looks like.
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # A damaged file must stop the load, never shrink it.
     "spark.sql.files.ignoreCorruptFiles": "false",
     "spark.sql.files.ignoreMissingFiles": "false",

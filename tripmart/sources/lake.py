@@ -142,14 +142,17 @@ class Lake:
         return Load(dataset, period, load_id, row_count)
 
     def load_period(
-        self, path: str, period: str, dataset: str = TRIPS, url: str | None = None
+        self, path: str, period: str, dataset: str = TRIPS, url: str | None = None, origin: Row | None = None
     ) -> Load:
-        """Capture one landed Parquet file and replace its period, only that one."""
-        origin = landing.origin(self.spark, path)
+        """Capture a landed Parquet file, or a folder of them, and replace its period.
+
+        ``origin`` may bring the audit facts if they are known already.
+        """
+        landing.check_form([period])
+        origin = origin or landing.origin(self.spark, path)
         if not origin.has_signature:
             raise ValueError(f"{path} is not a Parquet file")
-        rows = landing.capture(self.spark, path, period)
-        names = self.spark.read.parquet(path).columns
+        rows, names = landing.capture(self.spark, path, period)
         return self._load(rows, dataset, period, origin, url or path, names)
 
     def load_lookup(self, path: str, dataset: str = ZONES, url: str | None = None) -> Load:
@@ -186,6 +189,31 @@ class Lake:
         """Every top-level key that occurs in the visible raw records."""
         return sorted({name for row in self.loads(dataset) for name in row.field_names or []})
 
+    def remove_replaced(self) -> list[str]:
+        """Delete the folders that no current log row points to; return them.
+
+        For after a run: a reader that still holds an older version would lose it.
+        Folders of a write that is under way look the same, so nothing may write.
+        """
+        current = {
+            f"{self._raw_root(row.dataset)}/source_period={row.source_period}/load_id={row.load_id}"
+            for row in self.audit_log().select("dataset", "source_period", "load_id").collect()
+        }
+        versions = keep_first(self._log(self._versions_path, VERSION_LOG), ["name"], [F.col("entry").desc()])
+        current |= {f"{self.root}/tables/{row.name}/version={row.version}" for row in versions.select("name", "version").collect()}
+        context = self.spark.sparkContext
+        hadoop = context._jvm.org.apache.hadoop.fs
+        top = hadoop.Path(self.root)
+        system = top.getFileSystem(context._jsc.hadoopConfiguration())
+        kept = {system.makeQualified(hadoop.Path(path)).toString() for path in current}
+        removed = []
+        for pattern in ("bronze/*/source_period=*/load_id=*", "tables/*/version=*"):
+            for status in system.globStatus(hadoop.Path(top, pattern)) or []:
+                if status.getPath().toString() not in kept:
+                    system.delete(status.getPath(), True)
+                    removed.append(status.getPath().toString())
+        return removed
+
     # Rebuilt tables
 
     @property

@@ -2,73 +2,60 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
-from collections.abc import Iterator, Sequence
+from collections import defaultdict
+from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
-import pandas as pd
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.session import SETTINGS
+
 # The period form, the file name form and the file signature.
-PERIOD_PATTERN = r"^20\d{2}-(0[1-9]|1[0-2])$"
+PERIOD_FORM = r"20\d{2}-(0[1-9]|1[0-2])"
+# For Spark, where a dollar sign would also match before a final newline.
+PERIOD_PATTERN = rf"^(?:{PERIOD_FORM})\z"
 TRIP_FILE = "yellow_tripdata_{period}.parquet"
 SIGNATURE = b"PAR1"
 
-# A whole file may be one binary value up to this size. Larger files are read
-# in chunks.
-WHOLE_FILE_BYTES = 256 << 20
-CHUNK_BYTES = 8 << 20
+# The digests of a folder's files are joined in groups by their first digits.
+DIGEST_GROUP_DIGITS = 3
 
 
 class EmptyLoad(RuntimeError):
     """A load or its file has nothing in it; the previous version stays."""
 
 
-MANIFEST = (
-    "source_file string, path string, byte_count long, file_sha256 string, has_signature boolean"
-)
+class Capture(NamedTuple):
+    """Raw records and every field name that occurs in them."""
 
+    rows: DataFrame
+    names: list[str]
 
-def _open(path: str):
-    """A seekable stream on a file of any file system pyarrow knows."""
-    from pyarrow import fs
 
-    target = path.removeprefix("file:") if path.startswith("file:") else path
-    if "://" in target:
-        system, name = fs.FileSystem.from_uri(target.replace("s3a://", "s3://", 1))
-    else:
-        system, name = fs.LocalFileSystem(), target
-    return system.open_input_file(name)
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 
 
-def _read_in_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for path, size in zip(batch["path"], batch["byte_count"]):
-            digest, head, tail = hashlib.sha256(), b"", b""
-            with _open(path) as stream:
-                while chunk := stream.read(CHUNK_BYTES):
-                    digest.update(chunk)
-                    head = head or chunk[: len(SIGNATURE)]
-                    tail = (tail + chunk[-len(SIGNATURE) :])[-len(SIGNATURE) :]
-            signed = size >= 2 * len(SIGNATURE) and head == tail == SIGNATURE
-            rows.append((path.rsplit("/", 1)[-1], path, size, digest.hexdigest(), signed))
-        yield pd.DataFrame(rows, columns=["source_file", "path", "byte_count", "file_sha256", "has_signature"])
+def relative_file(path: str, file_path: Column) -> Column:
+    """The part of a file's path below ``path``; its name if ``path`` is the file."""
+    root = re.sub(_SCHEME, "", path).rstrip("/")
+    plain = F.regexp_replace(file_path, _SCHEME, "")
+    name = F.element_at(F.split(file_path, "/"), -1)
+    at = F.locate(f"{root}/", plain)
+    below = F.substring(plain, at + len(root) + 1, F.length(plain))
+    return F.when(at > 0, below).otherwise(name)
 
 
-def manifest(
-    spark: SparkSession, *paths: str, whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> DataFrame:
-    """Name, size, SHA-256 and signature of each non-empty file, read once.
+def manifest(spark: SparkSession, *paths: str) -> DataFrame:
+    """Name, path, size, SHA-256 and signature of each non-empty file, read once.
 
-    A SHA-256 is sequential per file, so files are the unit of work. Small
-    files are hashed by Spark's own functions. A file that would not fit a
-    single value is streamed by one task with constant memory.
+    A SHA-256 is sequential per file, so files are the unit of work. Every file is
+    one binary value of Spark's own reader, which refuses files of 2 GiB or more:
+    land larger ones as a folder of files.
     """
-    files = spark.read.format("binaryFile").load(list(paths))
     mark = F.lit(SIGNATURE)
-    small = files.filter(F.col("length") <= whole_file_bytes).select(
+    return spark.read.format("binaryFile").load(list(paths)).select(
         F.element_at(F.split("path", "/"), -1).alias("source_file"),
         "path",
         F.col("length").alias("byte_count"),
@@ -79,42 +66,67 @@ def manifest(
             & (F.substring("content", -len(SIGNATURE), len(SIGNATURE)) == mark)
         ).alias("has_signature"),
     )
-    large = (
-        files.filter(F.col("length") > whole_file_bytes)
-        .select("path", F.col("length").alias("byte_count"))
-        .repartition("path")
-        .mapInPandas(_read_in_chunks, MANIFEST)
-    )
-    return small.unionByName(large)
 
 
-def origin(spark: SparkSession, path: str) -> Row:
-    """The audit facts of what lies at ``path``: one row.
+def origins(spark: SparkSession, landed: Mapping[str, str]) -> dict[str, Row]:
+    """The audit facts of what lies at each path, by its name, from one job.
 
-    A period may be one file or a folder of files, which are then hashed in
-    parallel. The digest of a folder is the SHA-256 over its files' digests in
-    order; only digests and sizes are gathered, never contents.
+    A name's path may be one file or a folder of files, which are then hashed in
+    parallel. The digest of a folder is taken over its files' digests: they are
+    sorted and joined in groups by their first digits, then over the groups. Only
+    digests and sizes are gathered, never contents.
     """
-    files = manifest(spark, path)
-    facts = files.agg(
+    if not landed:
+        return {}
+    files = manifest(spark, *landed.values())
+    plain = F.regexp_replace("path", _SCHEME, "")
+    which = F.lit(None).cast("string")
+    for name, path in landed.items():
+        root = re.sub(_SCHEME, "", path).rstrip("/")
+        inside = plain.endswith(root) | (F.locate(f"{root}/", plain) > 0)
+        which = F.when(inside, name).otherwise(which)
+    groups = files.withColumn("name", which).groupBy("name", F.substring("file_sha256", 1, DIGEST_GROUP_DIGITS).alias("digits")).agg(
         F.count(F.lit(1)).alias("files"),
         F.min("source_file").alias("only_file"),
         F.sum("byte_count").alias("byte_count"),
         F.bool_and("has_signature").alias("has_signature"),
         F.min("file_sha256").alias("only_digest"),
         F.sha2(F.concat_ws(",", F.sort_array(F.collect_list("file_sha256"))), 256).alias("digest"),
-    ).first()
-    # Spark lists files without bytes but never reads them.
-    listed = len(spark.read.format("binaryFile").load(path).inputFiles())
-    if facts.files < max(listed, 1):
-        raise EmptyLoad(f"{path} has a file without bytes")
-    single = facts.files == 1
-    return Row(
-        source_file=facts.only_file if single else path.rstrip("/").rsplit("/", 1)[-1],
-        byte_count=facts.byte_count,
-        has_signature=facts.has_signature,
-        file_sha256=facts.only_digest if single else facts.digest,
     )
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("digits", "digest"))), lambda g: g["digest"])
+    facts = groups.groupBy("name").agg(
+        F.sum("files").alias("files"),
+        F.min("only_file").alias("only_file"),
+        F.sum("byte_count").alias("byte_count"),
+        F.bool_and("has_signature").alias("has_signature"),
+        F.min("only_digest").alias("only_digest"),
+        F.sha2(F.concat_ws(",", in_order), 256).alias("digest"),
+    )
+    found = {row["name"]: row for row in facts.collect()}
+    out = {}
+    for name, path in landed.items():
+        row = found.get(name)
+        # Spark lists files without bytes but never reads them.
+        if row is None or row["files"] < _listed(spark, path):
+            raise EmptyLoad(f"{path} has a file without bytes")
+        single = row["files"] == 1
+        out[name] = Row(
+            source_file=row["only_file"] if single else path.rstrip("/").rsplit("/", 1)[-1],
+            byte_count=row["byte_count"],
+            has_signature=row["has_signature"],
+            file_sha256=row["only_digest"] if single else row["digest"],
+        )
+    return out
+
+
+def origin(spark: SparkSession, path: str) -> Row:
+    """The audit facts of what lies at ``path``: one row."""
+    return origins(spark, {path: path})[path]
+
+
+def _listed(spark: SparkSession, path: str) -> int:
+    """Files at ``path``, empty ones too. Only the number leaves Spark's listing."""
+    return len(spark.read.format("binaryFile").load(path)._jdf.inputFiles())
 
 
 def unsigned_files(files: DataFrame) -> DataFrame:
@@ -140,11 +152,15 @@ def missing_periods(required: DataFrame, landed: DataFrame) -> DataFrame:
     )
 
 
-def checked_periods(periods: Sequence[str], landed: Sequence[str], strict: bool = True) -> list[str]:
-    """The periods to load, in order; refuse a bad list or, if strict, a gap."""
-    malformed = [p for p in periods if not re.fullmatch(PERIOD_PATTERN, p)]
+def check_form(periods: Sequence[str]) -> None:
+    malformed = [p for p in periods if not re.fullmatch(PERIOD_FORM, p)]
     if malformed:
         raise ValueError(f"periods must look like YYYY-MM: {malformed}")
+
+
+def checked_periods(periods: Sequence[str], landed: Sequence[str], strict: bool = True) -> list[str]:
+    """The periods to load, in order; refuse a bad list or, if strict, a gap."""
+    check_form(periods)
     if not periods:
         raise ValueError("the list of periods is empty")
     if len(set(periods)) != len(periods):
@@ -155,17 +171,45 @@ def checked_periods(periods: Sequence[str], landed: Sequence[str], strict: bool
     return [p for p in periods if p not in missing]
 
 
-def capture(spark: SparkSession, path: str, period: str) -> DataFrame:
-    """Each row of a Parquet file as one self-describing record with its origin.
+def _any_columns(spark: SparkSession) -> SparkSession:
+    """A session in which column names may differ in case only."""
+    session = spark.newSession()
+    for key in SETTINGS:
+        value = spark.conf.get(key, None)
+        if value is not None:
+            session.conf.set(key, value)
+    session.conf.set("spark.sql.caseSensitive", "true")
+    return session
+
 
-    One period is read at a time: types may change between files, and a single
-    read would have to merge them. Any columns are accepted.
+def capture(spark: SparkSession, path: str, period: str) -> Capture:
+    """Each row of the Parquet files at ``path`` as one record with its origin.
+
+    Files may differ in names and types of columns. They are grouped by schema; each
+    group is read as it is, so a record holds the columns of its own file and no
+    file narrows another. ``source_file`` is the period and the file's place below
+    ``path``: with the row number, unique over all periods.
     """
-    rows = spark.read.parquet(path)
-    return rows.select(
-        F.to_variant_object(F.struct(*(F.col(f"`{c}`") for c in rows.columns))).alias("raw_record"),
-        F.col("_metadata.file_name").alias("source_file"),
-        F.lit(period).alias("source_period"),
-        F.col("_metadata.row_index").alias("source_row_number"),
-        F.current_timestamp().alias("loaded_at"),
-    )
+    session = _any_columns(spark)
+    listed = session.read.format("binaryFile").load(path).select("path").orderBy("path").collect()
+    groups: dict[str, list[str]] = defaultdict(list)
+    names: dict[str, None] = {}
+    for row in listed:
+        schema = session.read.parquet(row["path"]).schema
+        groups[schema.json()].append(row["path"])
+        names.update(dict.fromkeys(schema.fieldNames()))
+    rows = None
+    for files in groups.values():
+        read = session.read.parquet(*files)
+        columns = (F.col("`" + c.replace("`", "``") + "`") for c in read.columns)
+        part = read.select(
+            F.to_variant_object(F.struct(*columns)).alias("raw_record"),
+            F.concat(F.lit(f"{period}/"), relative_file(path, F.col("_metadata.file_path"))).alias("source_file"),
+            F.lit(period).alias("source_period"),
+            F.col("_metadata.row_index").alias("source_row_number"),
+            F.current_timestamp().alias("loaded_at"),
+        )
+        rows = part if rows is None else rows.unionByName(part)
+    if rows is None:
+        raise EmptyLoad(f"{path} has no file")
+    return Capture(rows, list(names))

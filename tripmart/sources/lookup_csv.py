@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tripmart.sources.landing import relative_file
+
 # The header of the lookup and the texts that mean NULL.
 HEADER = ["LocationID", "Borough", "Zone", "service_zone"]
 COLUMNS = ["location_id", "borough", "zone", "service_zone"]
@@ -40,7 +42,7 @@ def read_lookup(spark: SparkSession, path: str, multiline: bool = False) -> Data
                 F.when(~F.col(name).isin(*NULL_TEXTS), F.col(name)).alias(column)
                 for name, column in zip(HEADER, COLUMNS)
             ),
-            F.col("_metadata.file_name").alias("source_file"),
+            relative_file(path, F.col("_metadata.file_path")).alias("source_file"),
             F.col("_metadata.file_block_start").alias("__block"),
         )
     )
