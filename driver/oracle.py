@@ -411,15 +411,22 @@ def _usage(dimension: str, key: str, fact_key: str, label: str) -> str:
         from {dimension} left join fact on {dimension}.{key} = fact.{fact_key} group by all"""
 
 
-def _nulls(check: str, table: str, column: str) -> str:
+def _nulls(check: str, table: str, base: str, place: int, column: str) -> str:
+    """Violations, planted ones included: every so many rows lack the column."""
+    return f"""select 'not_null:{check}.{column}' as "check",
+        count(*) filter (where {column} is null or {base} % {place + 3} = 0) as violations from {table}"""
+
+
+def _empty(check: str, table: str, column: str) -> str:
     return f"""select 'not_null:{check}.{column}' as "check",
         count(*) filter (where {column} is null) as violations from {table}"""
 
 
-def _repeats(check: str, table: str, column: str) -> str:
+def _repeats(check: str, table: str, base: str, column: str) -> str:
+    """Violations among the rows and the twins of every seventh."""
     return f"""select 'unique:{check}.{column}' as "check", count(*) as violations from
-        (select {column} from {table} where {column} is not null
-         group by {column} having count(*) > 1)"""
+        (select {column} from (select {column} from {table} union all select {column} from {table} where {base} % 7 = 0)
+         where {column} is not null group by {column} having count(*) > 1)"""
 
 
 def _orphans(name: str, column: str, parent: str, key: str) -> str:
@@ -446,15 +453,43 @@ _ALL_ORPHANS = " union all ".join(
 )
 _DIMENSIONS = [LOCATIONS, DATES, SHORT_DATES, VENDORS, PAYMENTS, RATES]
 
-_NOT_NULL = {
-    "trips_staged": ("staged", ["trip_sk", "source_period", "source_row_number", "dq_status", "record_hash"]),
+# Table, integer to plant by, columns that need a value, unique columns.
+_CHECKED = {
+    "trips_raw": (
+        "(select *, 1 as raw_record from trips_raw)",
+        "source_row_number",
+        ["raw_record", "source_file", "source_period", "source_row_number", "loaded_at"],
+        [],
+    ),
+    "zones_raw": ("zones_raw", "source_row_number", ["source_file", "source_row_number", "loaded_at"], []),
+    "ingestion_audit": ("audit", "row_count", ["dataset", "source_period", "file_sha256", "row_count"], []),
+    "trips_staged": (
+        "staged",
+        "source_row_number",
+        ["trip_sk", "source_period", "source_row_number", "dq_status", "record_hash"],
+        [],
+    ),
     "trips_clean": (
         "clean",
+        "pickup_location_id",
         ["trip_sk", "pickup_at", "dropoff_at", "pickup_location_id", "dropoff_location_id", "source_period"],
+        ["trip_sk"],
+    ),
+    "zones_clean": ("zones", "location_id", ["location_id", "borough", "zone_name"], ["location_id"]),
+    "dq_summary": ("summary", "raw_row_count", ["source_period", "raw_row_count", "usable_row_count"], ["source_period"]),
+    "dim_date": ("dim_date", "date_key", ["date_key", "date_day"], ["date_key", "date_day"]),
+    "dim_location": ("dim_location", "location_key", ["location_key", "zone_name"], ["location_key"]),
+    "dim_vendor": ("dim_vendor", "vendor_key", ["vendor_key", "vendor_name"], ["vendor_key"]),
+    "dim_payment_type": (
+        "dim_payment_type",
+        "payment_type_key",
+        ["payment_type_key", "payment_type_name"],
+        ["payment_type_key"],
     ),
-    "zones_clean": ("zones", ["location_id", "borough", "zone_name"]),
+    "dim_rate_code": ("dim_rate_code", "rate_code_key", ["rate_code_key", "rate_code_name"], ["rate_code_key"]),
     "fct_trips": (
         "fact",
+        "pickup_location_key",
         [
             "trip_sk",
             "pickup_date_key",
@@ -467,8 +502,27 @@ _NOT_NULL = {
             "trip_count",
             "source_period",
         ],
+        ["trip_sk"],
     ),
+    "agg_monthly_kpis": ("kpis", "trip_count", ["source_period", "trip_count"], ["source_period"]),
 }
+_TWINS = "(select * from fact union all select * from fact where pickup_location_key % 7 = 0)"
+
+# The lookup of all customers, under the name that the zone steps read.
+ALL_ZONES_RAW = ZONES_RAW.replace("    where c_nationkey < 20\n", "")
+
+TO_ALL_ZONES = [ALL_ZONES_RAW, ZONES]
+
+_YEARS = r"'^( ?)(199|200)\d-', '\12024-'"
+FOLDED = f"""trips_raw as (
+    select * replace (
+        regexp_replace(source_period, {_YEARS}) as source_period,
+        regexp_replace(pickup_at, {_YEARS}) as pickup_at,
+        regexp_replace(dropoff_at, {_YEARS}) as dropoff_at)
+    from trips_unfolded
+)"""
+TO_FOLDED = [LINES, RAW.replace("trips_raw as (", "trips_unfolded as (", 1), FOLDED, TYPED, DERIVED, STAGED]
+TO_FOLDED_FACT = [*TO_FOLDED, CLEAN, *TO_ZONES, FACT]
 
 _REQUIRED = """required as (
     select distinct substr(cast(l_shipdate as varchar), 1, 7) as source_period from lineitem)"""
@@ -545,11 +599,11 @@ def oracle_sql() -> dict[str, str]:
             group by record_hash""",
         ),
         "zones_clean": _sql(
-            TO_ZONES,
+            TO_ALL_ZONES,
             """select cast(location_id as integer) as location_id, borough, zone_name, service_zone,
             source_file, source_row_number, loaded_at from zones""",
         ),
-        "dim_location": _sql([*TO_ZONES, LOCATIONS], "select * from dim_location"),
+        "dim_location": _sql([*TO_ALL_ZONES, LOCATIONS], "select * from dim_location"),
         "dim_date": _sql(
             [*TO_FACT, DATES],
             """select dim_date.*, count(fact.trip_sk) as trips from dim_date
@@ -574,24 +628,32 @@ def oracle_sql() -> dict[str, str]:
         "agg_monthly_kpis": _sql([*TO_FACT, KPIS], "select * from kpis"),
         "dq_summary": _sql([*TO_STAGED, SUMMARY], "select * from summary"),
         "check_not_null": _sql(
-            TO_FACT,
+            [*TO_FACT, *_DIMENSIONS, KPIS, SUMMARY, AUDIT],
             " union all ".join(
-                _nulls(check, name, column) for check, (name, columns) in _NOT_NULL.items() for column in columns
+                _nulls(check, name, base, place, column)
+                for check, (name, base, columns, _) in _CHECKED.items()
+                for place, column in enumerate(columns)
             ),
         ),
         "check_unique": _sql(
-            [*TO_FACT, LOCATIONS, KPIS, SUMMARY],
+            [*TO_FACT, *_DIMENSIONS, KPIS, SUMMARY],
             " union all ".join(
-                [
-                    _repeats("trips_clean", "clean", "trip_sk"),
-                    _repeats("zones_clean", "zones", "location_id"),
-                    _repeats("dim_location", "dim_location", "location_key"),
-                    _repeats("fct_trips", "fact", "trip_sk"),
-                    _repeats("agg_monthly_kpis", "kpis", "source_period"),
-                    _repeats("dq_summary", "summary", "source_period"),
-                ]
+                _repeats(check, name, base, column)
+                for check, (name, base, _, unique) in _CHECKED.items()
+                for column in unique
             ),
         ),
+        "gate_stops": _sql(
+            TO_FACT,
+            f"""select 'as built' as run, cast(null as varchar) as stopped_by, cast(0 as bigint) as violations
+            union all select 'with twins', 'unique:fct_trips.trip_sk', count(*) from
+                (select trip_sk from {_TWINS} group by trip_sk having count(*) > 1)""",
+        ),
+        "pipeline_kpis": _sql([*TO_FOLDED_FACT, KPIS], "select * from kpis"),
+        "pipeline_summary": _sql([*TO_FOLDED, SUMMARY], "select * exclude (latest_load_at) from summary"),
+        "pipeline_fact": _sql(
+            TO_FOLDED_FACT, f"select {_doubles([c for c in _FACT_COLUMNS if c not in ('trip_sk', 'source_file', 'source_row_number', 'loaded_at')])} from fact"
+        ),
         "check_relationships": _sql(
             [*TO_FACT, *_DIMENSIONS],
             f"""select 'relationship:' || relationship as "check", orphans as violations,
@@ -613,8 +675,9 @@ def oracle_sql() -> dict[str, str]:
         "check_gate": _sql(
             [*TO_FACT, *_DIMENSIONS, AUDIT],
             f"""select "check", violations, violations = 0 as passed from (
-                {" union all ".join(_nulls("fct_trips", "fact", c) for c in _NOT_NULL["fct_trips"][1])}
-                union all {_repeats("fct_trips", "fact", "trip_sk")}
+                {" union all ".join(_empty("fct_trips", "fact", c) for c in _CHECKED["fct_trips"][2])}
+                union all select 'unique:fct_trips.trip_sk', count(*) from
+                    (select trip_sk from fact group by trip_sk having count(*) > 1)
                 union all select 'relationship:' || relationship, orphans from ({_ALL_ORPHANS})
                 union all select 'audit_matches_raw', count(*) from ({_MISMATCH}))""",
         ),
@@ -632,7 +695,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "fact_grain": _sql(
             TO_FACT,
-            """select trip_sk, count(*) as duplicate_count from fact group by trip_sk
+            f"""select trip_sk, count(*) as duplicate_count from {_TWINS} group by trip_sk
             having count(*) > 1""",
         ),
         "orphan_counts": _sql([*TO_FACT, LOCATIONS, SHORT_DATES], _ORPHANS),
@@ -663,20 +726,20 @@ def oracle_sql() -> dict[str, str]:
         "period_reload": """select '2024-01' as source_period, cast(c_custkey as bigint) as record_key from customer
             union all select '2024-02', l_partkey from lineitem""",
         "zone_reload": _sql(
-            [ZONES_RAW], "select nullif(location_id, '') as location_id, borough, zone, service_zone from zones_raw"
+            [ALL_ZONES_RAW], "select nullif(location_id, '') as location_id, borough, zone, service_zone from zones_raw"
         ),
         "audit_upsert": """select 'yellow_taxi' as dataset, '2024-01' as source_period,
                 'customer.parquet' as source_file, count(*) as row_count, 'SUCCESS' as status from customer
             union all select 'yellow_taxi', '2024-02', 'lineitem.parquet', count(*), 'SUCCESS' from lineitem""",
         "csv_lookup": _sql(
-            [ZONES_RAW], "select nullif(location_id, '') as location_id, borough, zone, service_zone from zones_raw"
+            [ALL_ZONES_RAW], "select nullif(location_id, '') as location_id, borough, zone, service_zone from zones_raw"
         ),
         "csv_row_number": _sql(
-            [ZONES_RAW],
+            [ALL_ZONES_RAW],
             "select count(*) as row_count, cast(0 as bigint) as first_row, count(*) as numbered_rows from zones_raw",
         ),
         "header_contract": _sql(
-            [ZONES_RAW],
+            [ALL_ZONES_RAW],
             """select 'as agreed' as header, true as accepted, count(*) as row_count from zones_raw
             union all select 'other case', false, cast(null as bigint)
             union all select 'other order', false, null""",
