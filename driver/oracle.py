@@ -6,10 +6,29 @@ needs in front of its SELECT.
 
 from __future__ import annotations
 
-FIELDS = """vendor_id pickup_at dropoff_at passenger_count trip_distance_miles rate_code_id
-store_and_fwd_flag pickup_location_id dropoff_location_id payment_type fare_amount extra_amount
-mta_tax_amount tip_amount tolls_amount improvement_surcharge_amount total_amount
-congestion_surcharge_amount airport_fee_amount cbd_congestion_fee_amount""".split()
+# The fields of a trip.
+FIELDS = [
+    "vendor_id",
+    "pickup_at",
+    "dropoff_at",
+    "passenger_count",
+    "trip_distance_miles",
+    "rate_code_id",
+    "store_and_fwd_flag",
+    "pickup_location_id",
+    "dropoff_location_id",
+    "payment_type",
+    "fare_amount",
+    "extra_amount",
+    "mta_tax_amount",
+    "tip_amount",
+    "tolls_amount",
+    "improvement_surcharge_amount",
+    "total_amount",
+    "congestion_surcharge_amount",
+    "airport_fee_amount",
+    "cbd_congestion_fee_amount",
+]
 DECIMALS = [c for c in FIELDS if c not in ("pickup_at", "dropoff_at", "store_and_fwd_flag")]
 
 MAX_SECONDS = 365 * 86400
