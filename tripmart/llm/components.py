@@ -1,9 +1,10 @@
 """Connected components of an edge table by alternating stars.
 
 A large star links a node's larger neighbours to its smallest one, a small star the
-smaller ones. Both are an aggregation with a partial step and a join, so a node
-with very many edges is split like any skewed join key. Each round is stored in
-the shared folder; only two numbers a round reach the driver.
+smaller ones. Both are an aggregation with a partial step and a join. The least
+neighbours are stored before the join, so that both of its sides are dealt out by
+their own shuffle and a node with very many edges can be split. Each round is stored
+in the shared folder; only two numbers a round reach the driver.
 """
 
 from __future__ import annotations
@@ -18,17 +19,17 @@ _ROUNDS = 60
 
 def _large(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
+    least = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m")), "least")
     joined = both.join(least, both["a"] == least["n"]).where(F.col("b") > F.col("a"))
     return joined.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
 
 
 def _small(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    joined = down.join(least.withColumnRenamed("a", "n"), F.col("a") == F.col("n"))
+    least = stored(down.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m")), "least")
+    joined = down.join(least, F.col("a") == F.col("n"))
     others = joined.where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return others.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+    return others.unionByName(least.select(F.col("n").alias("a"), F.col("m").alias("b"))).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
