@@ -92,18 +92,24 @@ def compare(documents: DataFrame) -> DataFrame:
     share an id, the one with the least start. Other columns are ignored, repeated
     rows stay, empty input gives no rows.
     """
-    rows = documents.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    ids = numbered(rows.groupBy("doc_id").agg(F.max(F.length("text")).alias("most")), "doc_id")
+    # One key without nulls for both joins and the aggregation between them, so that
+    # texts are dealt out once and starts once.
+    kind = documents.schema["doc_id"].dataType
+    key = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("null"))
+    rows = documents.select(key.alias("key"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    lengths = documents.groupBy("doc_id").agg(F.max(F.length(F.coalesce(F.col("text"), F.lit("")))).alias("most"))
+    ids = numbered(lengths, "doc_id")
     last = ids.agg(F.max("number")).first()[0]
-    own = ids.select(F.col("doc_id").alias("next_id"), "number")
-    before = ids.select(F.col("doc_id").alias("for_id"), "most", F.when(F.col("number") == F.lit(last), 0).otherwise(F.col("number") + 1).alias("number"))
+    own = ids.select(key.alias("next_key"), "number")
+    before = ids.select(key.alias("for_key"), "most", F.when(F.col("number") == F.lit(last), 0).otherwise(F.col("number") + 1).alias("number"))
     pairs = own.join(before, "number").drop("number")
-    starts = rows.join(pairs, rows["doc_id"].eqNullSafe(pairs["next_id"])).select(
-        "for_id", F.substring("text", F.lit(1), F.floor(F.col("most") / EDITED).cast("int")).alias("start"), signatures(F.col("text")).alias("next_found")
+    starts = rows.join(pairs, F.col("key") == F.col("next_key")).select(
+        "for_key", F.substring("text", F.lit(1), F.floor(F.col("most") / EDITED).cast("int")).alias("start"), signatures(F.col("text")).alias("next_found")
     )
-    starts = starts.groupBy("for_id").agg(F.min(F.struct("start", "next_found")).alias("next"))
-    joined = rows.join(starts, rows["doc_id"].eqNullSafe(starts["for_id"]))
-    changed = joined.select("doc_id", "text", "next", edited(F.col("text"), F.col("next.start")).alias("changed"))
+    starts = starts.groupBy("for_key").agg(F.min(F.struct("start", "next_found")).alias("next"))
+    joined = rows.join(starts, F.col("key") == F.col("for_key"))
+    doc_id = F.when(F.col("key") != "null", F.substring("key", F.lit(2), F.length("key"))).cast(kind)
+    changed = joined.select(doc_id.alias("doc_id"), "text", "next", edited(F.col("text"), F.col("next.start")).alias("changed"))
     found = changed.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
