@@ -91,6 +91,16 @@ def test_mix_comes_near_its_targets(spark):
     assert mixing.mix(cases.nothing(spark)).count() == 0
 
 
+def test_small_sources_are_taken_three_times(spark):
+    rows = [(i, "w " * 500, "a") for i in range(20)] + [(100 + i, "x y z", "b") for i in range(30)] + [(200, "u", "c")]
+    found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    taken = Counter()
+    for r in found:
+        taken[r["source"]] += r["taken"]
+        assert r["taken"] <= 3 * r["size"]
+    assert taken["b"] == 270 and taken["c"] == 3 and abs(taken["a"] - (10_091 - 273)) <= mixing.BLOCK_WORDS
+
+
 def filled(sizes, weights, most):
     """Targets by resharing one excess after the other."""
     out, left, open_ = [0.0] * len(sizes), float(sum(sizes)), set(range(len(sizes)))

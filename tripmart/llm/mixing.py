@@ -60,7 +60,7 @@ def numbered(rows: DataFrame, key: str) -> DataFrame:
 
 
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """``(source, source_size)`` with ``weight`` and ``target``.
+    """``(source, source_size)`` with ``weight``, ``target`` and whether it is ``capped``.
 
     Each round caps the sources whose share of what is left exceeds ``most`` times
     their size; it ends when a round caps none, so at most once for each source
@@ -83,7 +83,7 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
             break
         capped, left, share = found["n"], total - found["cap"], found["all"] - found["w"]
     exact = (F.lit(left).cast("decimal(20,0)") * F.col("weight").cast("decimal(10,0)")).cast("double") / F.lit(float(share))
-    return rows.withColumn("target", F.when(over, F.col("_cap").cast("double")).otherwise(exact)).drop("_cap")
+    return rows.withColumn("target", F.when(over, F.col("_cap").cast("double")).otherwise(exact)).withColumn("capped", over).drop("_cap")
 
 
 def seats(parties: DataFrame, votes: str, limit: str, total: int, order: str) -> DataFrame:
@@ -184,16 +184,18 @@ def quotas(cells: DataFrame, weights=WEIGHTS, most: int = MOST, block: int = BLO
     """``(source, shard, words)`` with ``source_size``, ``target`` and ``seats`` of each shard."""
     sources = stored(cells.groupBy("source").agg(F.sum("words").alias("source_size")), "sources")
     aimed = targets(sources, weights, most)
-    limits = cells.withColumn("limit", F.floor(F.lit(most) * F.col("words") / F.lit(block)).cast("long"))
-    room = limits.groupBy("source").agg(F.sum("limit").alias("limit"))
-    joined = aimed.join(room.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    joined = stored(joined, "rooms")
-    total = joined.agg(F.sum("target")).first()[0] or 0.0
-    given = seats(joined, "target", "limit", round(total / block), "source")
-    grouped = limits.groupBy(F.col("source").alias("_s")).agg(F.array_sort(F.collect_list(F.struct("shard", "words", "limit"))).alias("cells"))
-    by_shard = given.join(grouped, F.col("source").eqNullSafe(F.col("_s")))
-    by_shard = by_shard.select("source", "source_size", "target", F.explode(shard_seats(F.col("cells"), F.col("seats"))).alias("c"))
-    return by_shard.select("source", "source_size", "target", "c.shard", "c.seats")
+    # The last block of a shard's last pass may be short.
+    limits = cells.withColumn("limit", F.ceil(F.lit(most) * F.col("words") / F.lit(block)).cast("long"))
+    grouped = limits.groupBy(F.col("source").alias("_s")).agg(F.array_sort(F.collect_list(F.struct("shard", "words", "limit"))).alias("cells"), F.sum("limit").alias("limit"))
+    joined = stored(aimed.join(grouped, F.col("source").eqNullSafe(F.col("_s"))).drop("_s"), "rooms")
+    # A capped source gives every block as often as it may.
+    whole = joined.where("capped").select("source", "source_size", "target", F.explode("cells").alias("c"))
+    whole = whole.select("source", "source_size", "target", "c.shard", F.col("c.limit").alias("seats"))
+    free = joined.where("not capped")
+    total = free.agg(F.sum("target")).first()[0] or 0.0
+    given = seats(free, "target", "limit", round(total / block), "source")
+    by_shard = given.select("source", "source_size", "target", F.explode(shard_seats(F.col("cells"), F.col("seats"))).alias("c"))
+    return whole.unionByName(by_shard.select("source", "source_size", "target", "c.shard", "c.seats"))
 
 
 def _sized(documents: DataFrame, shards: int, seed: str) -> DataFrame:
@@ -210,7 +212,7 @@ def _planned(rows: DataFrame, weights: tuple[int, ...], most: int, block: int) -
     own = cells.select(F.col("source").alias("_s"), F.col("shard").alias("_h"), "words")
     plan = quotas(cells, weights, most, block).join(own, F.col("source").eqNullSafe(F.col("_s")) & (F.col("shard") == F.col("_h"))).drop("_s", "_h")
     return stored(plan, "plan").select(
-        F.col("source").alias("_s"), F.col("shard").alias("_h"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.col("words").alias("_words"), (F.col("seats") * block).alias("_take")
+        F.col("source").alias("_s"), F.col("shard").alias("_h"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.col("words").alias("_words"), F.least(F.col("seats") * block, most * F.col("words")).alias("_take")
     )
 
 
@@ -305,7 +307,7 @@ with recursive sized as (
 ), docs as (
   select *, cast('0x' || substr(ord, 1, 4) as bigint) % {SHARDS} as shard from sized
 ), cells as (
-  select source, shard, sum(size)::bigint as words, floor({MOST} * sum(size) / {BLOCK_WORDS})::bigint as room from docs group by all
+  select source, shard, sum(size)::bigint as words, ceil({MOST} * sum(size) / {BLOCK_WORDS})::bigint as room from docs group by all
 ), sources as (
   select source, sum(words)::bigint as source_size, sum(room)::bigint as room,
     [1, 2, 3][(row_number() over (order by source nulls last) - 1) % 3 + 1] as weight
@@ -321,16 +323,18 @@ with recursive sized as (
 ), settled as (
   select left_over, share from rounds where n = 30
 ), aimed as (
-  select s.*, case when {MOST} * source_size * share < left_over * weight then ({MOST} * source_size)::double
+  select s.*, {MOST} * source_size * share < left_over * weight as capped,
+    case when {MOST} * source_size * share < left_over * weight then ({MOST} * source_size)::double
                    else (left_over * weight)::double / share::double end as target
   from sources s, settled
 ), quotients as (
   select source, target / (2 * k + 1) as quotient
-  from (select source, target, unnest(range(least(room, ceil(target / {BLOCK_WORDS})::bigint + 16))) as k from aimed)
+  from (select source, target, unnest(range(room)) as k from aimed where not capped)
 ), won as (
   select source, count(*) as seats from (
     select source, row_number() over (order by quotient desc, source nulls last) as place from quotients
-  ) where place <= round((select sum(target) from aimed) / {BLOCK_WORDS}) group by source
+  ) where place <= round((select sum(target) from aimed where not capped) / {BLOCK_WORDS}) group by source
+  union all select source, room from aimed where capped
 ), shard_quotients as (
   select c.source, c.shard, w.seats, words::double / (2 * k + 1) as quotient
   from (select source, shard, words, unnest(range(room)) as k from cells) c
@@ -344,7 +348,7 @@ with recursive sized as (
     coalesce(sum(size) over (partition by source, shard order by ord rows between unbounded preceding and 1 preceding), 0)::bigint as earlier
   from docs
 ), taking as (
-  select p.*, a.source_size, a.target, c.words, coalesce(w.seats, 0) * {BLOCK_WORDS} as take
+  select p.*, a.source_size, a.target, c.words, least(coalesce(w.seats, 0) * {BLOCK_WORDS}, {MOST} * c.words) as take
   from placed p join aimed a on p.source is not distinct from a.source
   join cells c on p.source is not distinct from c.source and p.shard = c.shard
   left join shard_won w on p.source is not distinct from w.source and p.shard = w.shard
