@@ -15,6 +15,8 @@ partitions; the last ones of each are cut into powers of two.
 
 from __future__ import annotations
 
+import gc
+import os
 import zlib
 from collections.abc import Callable, Iterator
 from itertools import chain
@@ -33,7 +35,9 @@ SEGMENTS = 64
 #: Waiting pieces of a partition; more are packed before more are read.
 POOL = 512
 #: Units whose ids a worker remembers, besides those of the texts at hand.
-UNITS = 500_000
+UNITS = 1_000_000
+#: Bytes of text whose units are found at once; smaller blocks stay in the processor's cache.
+UNIT_BYTES = 1 << 20
 #: Room for the sequence numbers of one partition.
 PER_PARTITION = 1 << 40
 OUT_ROWS = 20_000
@@ -190,8 +194,8 @@ def units(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     np.cumsum(kind == _ODD, out=sums[1:])
     odd = sums[ends] > sums[starts]
     plain = np.zeros(len(data) + 1, np.int8)
-    np.add.at(plain, starts[~odd], 1)
-    np.add.at(plain, ends[~odd], -1)
+    plain[starts[~odd]] += 1  # no place occurs twice among the starts, nor among the ends
+    plain[ends[~odd]] -= 1
     plain = np.cumsum(plain[:-1], dtype=np.int8).astype(bool)
     opens = plain.copy()
     opens[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
@@ -233,7 +237,7 @@ class Ids:
 
     def of(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text as unsigned 32-bit numbers, with END_ID at the end."""
-        for block in blocks(column):
+        for block in blocks(column, UNIT_BYTES):
             data, starts, ends, owner = units(block)
             hashes = self.hasher.ranges(data, starts, ends)
             distinct, first, place = np.unique(hashes, return_index=True, return_inverse=True)
@@ -256,6 +260,19 @@ class Ids:
                 yield out
 
 
+def remembered(path: str) -> Ids:
+    """The worker's own Ids of a vocabulary: a worker runs many tasks, and the
+    tokenizer's module is what outlives each of them."""
+    import tokenizers
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    if not hasattr(tokenizers, "remembered_ids"):
+        tokenizers.remembered_ids = {}
+    if path not in tokenizers.remembered_ids:
+        tokenizers.remembered_ids[path] = Ids(path)
+    return tokenizers.remembered_ids[path]
+
+
 def pack(documents: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", limits: Limits = Limits(), pool: int = POOL) -> DataFrame:
     """A row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, loss_tokens``.
 
@@ -281,7 +298,7 @@ def pack(documents: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
             number[0] += 1
 
         key_type = None
-        packer, ids = Packer(limits, pool, emit), None
+        packer, ids = Packer(limits, pool, emit), remembered(tokenizer)
 
         def drained() -> pa.RecordBatch:
             columns = list(zip(*out, strict=True)) if out else [()] * len(names)
@@ -289,15 +306,17 @@ def pack(documents: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
             out.clear()
             return pa.RecordBatch.from_arrays(arrays, names=names)
 
+        # Millions of small values live on and none refer to one another.
+        gc.disable()
         for batch in batches:
             key_type = batch.column(0).type
-            ids = ids or Ids(tokenizer)
             keys = batch.column(0).to_pylist()
             for k, found in zip(keys, ids.of(batch.column(1)), strict=True):
                 packer.add(Piece(k, len(found), 0, found))
                 if len(out) >= OUT_ROWS:
                     yield drained()
         packer.finish()
+        gc.enable()
         if out:
             yield drained()
 
