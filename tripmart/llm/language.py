@@ -52,9 +52,8 @@ class Model(NamedTuple):
 
 
 def symbols(text: str) -> np.ndarray:
-    """Lower-cased letters and their marks as code points; 32 for each run of others."""
-    raw = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    return raw
+    """The code points of the lower-cased text."""
+    return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
 def _letters() -> np.ndarray:
