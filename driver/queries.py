@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from driver import adapter
-from driver.adapter import LIMITS, MAX_MINUTES, table
+from driver.adapter import LIMITS, table
 from tripmart.functions import fields as fx
 from tripmart.functions import keys
 from tripmart.operators import checks as ck

@@ -6,7 +6,6 @@ from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tripmart.operators.checks import evaluate, gate, run_checks
 from tripmart.operators.dedup import first_copies
