@@ -182,3 +182,18 @@ def test_quotes_equal_their_sql(spark):
     assert by_turn[4, 1]["reply_to"] == 0 and by_turn[3, 0]["reply_to"] is None
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert quotes.conversations(empty).count() == 0
+
+
+def test_deeper_quotes_link_where_no_outer_one_does(spark):
+    messages = [
+        (1, 0, "u", "First words\nmore of them"),
+        (1, 1, "a", "Second words"),
+        (1, 2, "u", ">> First words\n>> more of them\nonly nested"),
+        (1, 3, "a", "> nobody said this\n>> Second words\n>>> First words\nlost author"),
+        (1, 4, "u", "> Second words\n>> First words\n>> more of them\nouter wins"),
+        (1, 5, "a", ">>> outer wins\nthree deep"),
+        (1, 6, "u", ">> nobody\nno link"),
+    ]
+    rows = spark.createDataFrame(messages, "conv_id long, turn long, role string, text string")
+    found = {r["turn"]: (r["reply_to"], r["quoted"], r["root"], r["depth"]) for r in quotes.conversations(rows).collect()}
+    assert found == {0: (None, 0, 0, 0), 1: (None, 0, 1, 0), 2: (0, 5, 0, 1), 3: (1, 2, 1, 1), 4: (1, 2, 1, 1), 5: (4, 2, 1, 2), 6: (None, 0, 6, 0)}

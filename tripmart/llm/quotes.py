@@ -4,8 +4,9 @@ Lines that begin with ``>`` marks are quoted, as deep as there are marks. Lines
 one level that follow one another are a passage; passages are normalised and
 hashed, and joined to the messages of the same conversation that say them in their
 own words: the passage as a whole, or one line of it. A message replies to the
-message that it quotes most of at the outermost level. Own words and replies make
-threads, ordered by their first message and by depth, without quotes.
+message that it quotes most of at the outermost level of which any passage links;
+deeper levels count only where no level outside them does. Own words and replies
+make threads, ordered by their first message and by depth, without quotes.
 
 The original of a passage is the first message of the conversation that says it.
 So a passage that very many messages share has one original: originals come from an
@@ -68,18 +69,19 @@ def _hash(text: Column) -> Column:
 def replies(messages: DataFrame) -> DataFrame:
     """``(conv_id, turn, reply_to, quoted)`` of messages that quote an earlier one.
 
-    ``quoted`` counts the words that link to ``reply_to``. Messages are known by
+    ``quoted`` counts the words that link to ``reply_to`` at the level that is taken,
+    the outermost one with a link. Messages are known by
     conversation and turn; rows that share both are taken together. Those with a
     null in either link to nothing.
     """
     rows = messages.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull()).select("conv_id", "turn", lines(F.col("text")).alias("parsed"))
     quoting = rows.where(F.exists("parsed", lambda x: x["level"] > 0))
-    parts = quoting.select("conv_id", "turn", F.explode(passages(F.col("parsed"))).alias("p")).where("p.level = 1")
-    whole = parts.select("conv_id", "turn", F.col("p.text").alias("t"), F.lit(1).alias("whole"))
-    single = parts.select("conv_id", "turn", F.explode(F.split(F.col("p.text"), "\n")).alias("t"), F.lit(0).alias("whole"))
+    parts = quoting.select("conv_id", "turn", F.explode(passages(F.col("parsed"))).alias("p")).select("conv_id", "turn", "p.level", "p.text")
+    whole = parts.select("conv_id", "turn", "level", F.col("text").alias("t"), F.lit(1).alias("whole"))
+    single = parts.select("conv_id", "turn", "level", F.explode(F.split(F.col("text"), "\n")).alias("t"), F.lit(0).alias("whole"))
     wanted = whole.unionByName(single).where(normalised(F.col("t")) != "")
-    wanted = wanted.select("conv_id", "turn", _hash(F.col("t")).alias("hash"), F.size(F.split(normalised(F.col("t")), " ")).alias("words"), "whole")
-    asked = stored(wanted.groupBy("conv_id", "turn", "hash", "whole").agg(F.sum("words").alias("words")), "quoted")
+    wanted = wanted.select("conv_id", "turn", "level", _hash(F.col("t")).alias("hash"), F.size(F.split(normalised(F.col("t")), " ")).alias("words"), "whole")
+    asked = stored(wanted.groupBy("conv_id", "turn", "level", "hash", "whole").agg(F.sum("words").alias("words")), "quoted")
     # Only conversations in which someone quotes need their messages' own words.
     quoted_in = asked.select("conv_id").distinct()
     said = rows.join(quoted_in, "conv_id", "left_semi").select("conv_id", "turn", own_words(F.col("parsed")).alias("own"))
@@ -88,8 +90,8 @@ def replies(messages: DataFrame) -> DataFrame:
     originals = said.groupBy("conv_id", _hash(F.col("t")).alias("hash")).agg(F.min("turn").alias("original"))
     found = asked.join(originals, ["conv_id", "hash"]).where(F.col("original") < F.col("turn"))
     # A whole passage counts twice: once more than its lines alone.
-    each = found.groupBy("conv_id", "turn", "original").agg(F.sum("words").alias("weight"), F.sum(F.when(F.col("whole") == 0, F.col("words")).otherwise(0)).alias("quoted"))
-    best = each.groupBy("conv_id", "turn").agg(F.max(F.struct("weight", F.col("original").alias("reply_to"), "quoted")).alias("b"))
+    each = found.groupBy("conv_id", "turn", "level", "original").agg(F.sum("words").alias("weight"), F.sum(F.when(F.col("whole") == 0, F.col("words")).otherwise(0)).alias("quoted"))
+    best = each.groupBy("conv_id", "turn").agg(F.max(F.struct((-F.col("level")).alias("outer"), "weight", F.col("original").alias("reply_to"), "quoted")).alias("b"))
     return best.select("conv_id", "turn", "b.reply_to", F.col("b.quoted").cast("long").alias("quoted"))
 
 
