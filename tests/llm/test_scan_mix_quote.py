@@ -56,6 +56,25 @@ def test_weak_finds_need_their_counterpart(spark):
     assert found == {0: 2, 1: 0, 2: 0, 3: 0, 4: 2, 5: 1}
 
 
+def test_links_measure_the_gap_between_finds(spark):
+    token, url = "aB3dE6gH9jK2mN5pQ8sT1v", "https://api.example.org/" + "p." * 138
+    texts = [
+        f"{url} {token}",
+        f"user: {'a' * 300} {token}",
+        f"password={'b1' * 150} user: alice",
+        f"{token} {'x ' * 99}{url}",
+        f"{token} {'x ' * 100}{url}",
+        f"{url} {'x ' * 99}{token}",
+        f"{url} {'x ' * 100}{token}",
+        # A short find between does not hide the end of the long one around it.
+        f"https://a.org/?u=&user=bob&{'p.' * 150} {token}",
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["n_weak"] for r in secrets.scan(rows).collect()}
+    assert found == {0: 2, 1: 2, 2: 1, 3: 2, 4: 0, 5: 2, 6: 0, 7: 2}
+    assert {r["doc_id"]: r["text"] for r in secrets.redacted(rows).collect()}[0] == "[SECRET] [SECRET]"
+
+
 def test_redaction_leaves_the_rest(spark):
     rows = cases.documents(spark)
     before = Counter((r["doc_id"], r["text"]) for r in rows.collect())

@@ -8,7 +8,9 @@ need a secret near them, tokens need a name, an access identifier or an endpoint
 
 A pattern's places come from what lies between its matches: the text is split by
 the pattern, and the lengths of pieces and matches add up in a window over the
-text's own finds. The link is an interval join on sorted starts: a range window.
+text's own finds. The link is an interval join on sorted starts: of the
+parts that begin no later the greatest end, and of the others the next start, tell
+whether the gap between two finds is within the scope.
 Only finds are shuffled, never texts; a text is one window group, so a frequent
 source, or copies of a text, are many groups.
 """
@@ -101,10 +103,13 @@ def finds(documents: DataFrame, kinds: list[Kind] = KINDS, scope: int = SCOPE) -
     placed = placed.withColumn("weak", weak).where(F.col("kind").isNull() | F.col("good") | (F.col("place") == 0))
 
     def near(part: tuple[str, ...]) -> Column:
-        """Whether another find of such a part begins within the scope."""
-        own = F.col("kind").isin([i for i, k in enumerate(kinds) if k.part in part]) & F.col("good")
-        around = Window.partitionBy("_row").orderBy("start").rangeBetween(-scope, scope)
-        return F.coalesce(F.max(own).over(around), F.lit(False))
+        """Whether the gap to another find of such a part is within the scope."""
+        other = F.col("kind").isin([i for i, k in enumerate(kinds) if k.part in part]) & F.col("good")
+        in_text = Window.partitionBy("_row")
+        # Both windows run from their start to the row, which takes one pass each.
+        reached = F.max(F.when(other, F.col("end"))).over(in_text.orderBy("start").rangeBetween(Window.unboundedPreceding, 0))
+        following = F.min(F.when(other, F.col("start"))).over(in_text.orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, 0))
+        return F.coalesce(F.col("start") - reached <= scope, F.lit(False)) | F.coalesce(following - F.col("end") <= scope, F.lit(False))
 
     secret = F.col("kind").isin([i for i, k in enumerate(kinds) if k.part == "secret"])
     linked = F.when(secret, near(("name", "endpoint"))).otherwise(near(("secret",)))
