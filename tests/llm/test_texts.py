@@ -103,6 +103,15 @@ def test_language_edges(spark):
     assert language.identify(cases.nothing(spark), none).count() == 0
 
 
+def test_only_letters_of_any_plane_make_a_language():
+    model = language.learn({"de": ["der hund und die katze"], "got": ["\U00010330\U00010332\U00010330 \U00010344"]})
+    texts = ["\U0001f600 123", "\U0001d7ce", "\u0301 12", "\U000e0100", "\U0001f600 der hund", "\U00010330\U00010332", "\U00020000"]
+    names, scores = language.predictions(model, texts)
+    assert names[:4] == ["und"] * 4 and not scores[:4].any()
+    assert names[4:6] == ["de", "got"] and names[6] != "und"
+    assert language.predictions(model, ["der hund", "der\U0001f600hund"])[1].std() == 0
+
+
 # Quality ranking
 
 

@@ -6,9 +6,10 @@ last one ended. A language in which the text falls into few phrases, weighed by
 log2 of the reference's length per letter, is a language like the reference; the
 smallest such rate wins, equal ones by the language's name.
 
-Letters are lower-cased and all else is one separator. A text is cut into pieces of
-``PIECE`` symbols that are parsed side by side, a step of all pieces and languages
-being one array lookup; each piece ends its last phrase. All symbols count.
+Letters and combining marks of all planes are lower-cased and all else is one
+separator. A text is cut into pieces of ``PIECE`` symbols that are parsed side by
+side, a step of all pieces and languages being one array lookup; each piece ends its
+last phrase. All symbols count.
 
 The automata come from a bounded sample and have a bounded size; they are sent to
 the workers. Texts are read in one narrow pass.
@@ -16,6 +17,7 @@ the workers. Texts are read in one narrow pass.
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from typing import NamedTuple
 
@@ -47,8 +49,9 @@ class Model(NamedTuple):
     roots: np.ndarray
     rates: np.ndarray  # bits that a phrase costs
     table: np.ndarray
-    classes: np.ndarray  # number of each code point of the basic plane, 0 a separator
+    classes: np.ndarray  # number of each code point, 0 a separator; the first shared one for all that share
     shared: int  # first shared number
+    letters: np.ndarray  # whether a code point is a letter
 
 
 def symbols(text: str) -> np.ndarray:
@@ -56,16 +59,16 @@ def symbols(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def _letters() -> np.ndarray:
-    """Whether a code point of the basic plane is a letter or a combining mark."""
-    return np.array([unicodedata.category(chr(c))[0] in "LM" for c in range(1 << 16)])
+def _categories() -> tuple[np.ndarray, np.ndarray]:
+    """Whether each code point of all planes is a letter, and whether a combining mark."""
+    first = np.array([unicodedata.category(chr(c))[0] for c in range(sys.maxunicode + 1)])
+    return first == "L", first == "M"
 
 
 def _numbered(points: np.ndarray, classes: np.ndarray, shared: int) -> np.ndarray:
-    low = points < len(classes)
-    out = np.empty(len(points), np.uint8)
-    out[low] = classes[points[low]]
-    out[~low] = shared + points[~low] % SHARED
+    out = classes[points]
+    shares = np.flatnonzero(out == shared)
+    out[shares] = shared + points[shares] % SHARED
     return out
 
 
@@ -118,14 +121,15 @@ def learn(samples: dict[str, list[str]], most: int = SAMPLE_SYMBOLS, most_all: i
     """Automata of the languages' sample texts, each up to ``most`` symbols."""
     languages = sorted(samples)
     most = max(1, min(most, most_all // max(1, len(languages))))
-    letters = _letters()
+    letters, marks = _categories()
+    used = letters | marks
     joined = {name: symbols("\n".join(t[: 4 * most] for t in samples[name])) for name in languages}
-    plain = np.concatenate([*(p[p < len(letters)] for p in joined.values()), np.zeros(0, np.uint32)])
-    often = np.bincount(plain, minlength=len(letters)) * letters
+    plain = np.concatenate([*joined.values(), np.zeros(0, np.uint32)])
+    often = np.bincount(plain, minlength=len(used)) * used
     ranked = [int(c) for c in np.argsort(-often, kind="stable")[: OWN - 1] if often[c]]
     shared, width = OWN, OWN + SHARED
-    classes = np.zeros(len(letters), np.uint8)
-    classes[letters] = shared + np.flatnonzero(letters) % SHARED
+    classes = np.zeros(len(used), np.uint8)
+    classes[used] = shared
     classes[ranked] = np.arange(1, len(ranked) + 1)
     tables, roots, rates, base = [], [], [], 0
     for name in languages:
@@ -140,7 +144,7 @@ def learn(samples: dict[str, list[str]], most: int = SAMPLE_SYMBOLS, most_all: i
         rates.append(np.log2(max(2, min(most, len(numbers)))))
         base += len(table)
     table = np.concatenate(tables) if tables else np.zeros((0, width), np.int32)
-    return Model(languages, np.array(roots, np.int32), np.array(rates), table, classes, shared)
+    return Model(languages, np.array(roots, np.int32), np.array(rates), table, classes, shared, letters)
 
 
 def phrases(model: Model, numbers: np.ndarray, breaks: np.ndarray) -> np.ndarray:
@@ -173,6 +177,13 @@ def phrases(model: Model, numbers: np.ndarray, breaks: np.ndarray) -> np.ndarray
     return out
 
 
+def _counted(flags: np.ndarray, breaks: np.ndarray) -> np.ndarray:
+    """How many flags are set between each break and the next."""
+    sums = np.zeros(len(flags) + 1, np.int64)
+    np.cumsum(flags, out=sums[1:])
+    return sums[breaks[1:]] - sums[breaks[:-1]]
+
+
 def predictions(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
     """Language and score of each text; the score is how much cheaper than the
     next language's the winning parse is, 0 (equal) to 1."""
@@ -186,13 +197,13 @@ def predictions(model: Model, texts: list[str | None]) -> tuple[list[str], np.nd
             points.append(symbols(texts[at] or ""))
             breaks.append(breaks[-1] + len(points[-1]))
             at += 1
-        numbers, cuts = _squeezed(_numbered(np.concatenate(points), model.classes, model.shared), np.array(breaks))
-        sums = np.zeros(len(numbers) + 1, np.int64)
-        np.cumsum(numbers > 0, out=sums[1:])
-        letters = sums[cuts[1:]] - sums[cuts[:-1]]
         if not model.languages:
             continue
-        rate = phrases(model, numbers, cuts) * model.rates[None, :] / np.maximum(letters, 1)[:, None]
+        joined = np.concatenate(points)
+        letters = _counted(model.letters[joined], np.array(breaks))
+        numbers, cuts = _squeezed(_numbered(joined, model.classes, model.shared), np.array(breaks))
+        used = _counted(numbers > 0, cuts)
+        rate = phrases(model, numbers, cuts) * model.rates[None, :] / np.maximum(used, 1)[:, None]
         best = rate.argmin(axis=1)
         ordered = np.sort(rate, axis=1)
         gain = 1 - ordered[:, 0] / np.maximum(ordered[:, 1], 1e-12) if len(model.languages) > 1 else np.ones(len(rate))
