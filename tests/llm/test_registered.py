@@ -18,7 +18,7 @@ def test_query_equals_its_sql(spark, name):
 
 def test_every_operator_is_registered():
     names = set(entry.queries())
-    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
 
 
 def test_stages_take_effect_and_keep_columns(spark):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import jaccard, language, mixing, packing, quotes, ranking, repetition, secrets, spotsigs, urls
+from tripmart.llm import interaction, jaccard, language, mixing, packing, quotes, ranking, repair, repetition, secrets, spotsigs, subspaces, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_document_fingerprints": spotsigs.query,
         "op9_url_filters": urls.query,
         "op10_quotation_linking": quotes.query,
+        "op11_embedding_dedup": subspaces.query,
+        "op12_filter_audit": interaction.query,
+        "op13_conversation_repair": repair.query,
     }
 
 
@@ -31,4 +34,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_document_fingerprints": spotsigs.SQL,
         "op9_url_filters": urls.SQL,
         "op10_quotation_linking": quotes.SQL,
+        "op11_embedding_dedup": subspaces.SQL,
+        "op12_filter_audit": interaction.SQL,
     }
