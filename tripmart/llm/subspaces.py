@@ -54,7 +54,7 @@ class Subspaces(NamedTuple):
 
     cosine: float = 0.95
     blocks: int = 4
-    part: int = 8192
+    part: int = 32768
     most_bits: int = 8
 
     @property
