@@ -739,6 +739,9 @@ def oracle_sql() -> dict[str, str]:
                 'VendorID,extra,odd`name,request_source,vendorid' from supplier""",
         "same_names": """select '2024-01' as source_period, count(*) as row_count, count(*) as key_count from orders
             union all select '2024-02', count(*), count(*) from lineitem""",
+        "landed_paths": """select '2024-01' as source_period, count(*) as row_count, count(*) as key_count, true as own_digest from orders
+            union all select '2024-02', count(*), count(*), true from lineitem
+            union all select '2024-03', count(*), count(*), true from customer""",
         "file_manifest": """select unnest(['region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem',
                 'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels', 'conversations']) || '.parquet'
                 as source_file, true as has_bytes, true as has_digest, true as has_signature""",

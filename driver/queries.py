@@ -389,17 +389,17 @@ def provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def folder_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One period of several files that differ in names, types and number of columns."""
+    """One period of 500 files at several depths that differ in names, types and number of columns."""
     folder = shared_dir(spark, "landing")
-    parts = [
-        table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("VendorID"), F.col("o_totalprice").alias("extra")),
-        table(spark, sf_dir, "customer").select(
+    parts = {
+        "": (300, table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("VendorID"), F.col("o_totalprice").alias("extra"))),
+        "/more files/deep": (150, table(spark, sf_dir, "customer").select(
             F.col("c_name").alias("vendorid"), F.col("c_acctbal").cast("string").alias("extra"), F.col("c_mktsegment").alias("request_source")
-        ),
-        table(spark, sf_dir, "supplier").select(F.col("s_name").alias("odd`name"), F.col("s_suppkey").alias("VendorID")),
-    ]
-    for rows in parts:
-        rows.write.mode("append").parquet(folder)
+        )),
+        "/day=1": (50, table(spark, sf_dir, "supplier").select(F.col("s_name").alias("odd`name"), F.col("s_suppkey").alias("VendorID"))),
+    }
+    for place, (files, rows) in parts.items():
+        rows.repartition(files).write.mode("append").parquet(folder + place)
     lake = Lake(spark, shared_dir(spark, "lake"))
     lake.load_period(folder, "2024-01")
     names = lake.field_names(TRIPS)
@@ -421,6 +421,29 @@ def same_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.groupBy("source_period").agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("trip_sk").alias("key_count"))
 
 
+def landed_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periods below folders with a space and a percent sign, whose paths end alike.
+
+    Keys stay unique, and each period gets the digest of its own files in any order.
+    """
+    base = shared_dir(spark, "my landing 100%")
+    landed = {"2024-01": f"{base}/day", "2024-02": f"{base}/mnt{base.partition(':')[2] or base}/day", "2024-03": f"{base}/day too"}
+    for (period, folder), name in zip(landed.items(), ("orders", "lineitem", "customer")):
+        rows = table(spark, sf_dir, name).select(F.lit(period).alias("period"), F.monotonically_increasing_id().alias("id"))
+        for part in ("day=1", "day=2"):
+            rows.where(F.pmod("id", F.lit(2)) == int(part[-1]) - 1).coalesce(1).write.parquet(f"{folder}/{part}")
+    found = landing.origins(spark, landed)
+    backwards = landing.origins(spark, dict(reversed(landed.items())))
+    own = {period: landing.origin(spark, path) for period, path in landed.items()}
+    lake = Lake(spark, shared_dir(spark, "lake"))
+    for period, path in landed.items():
+        lake.load_period(path, period, origin=found[period])
+    key = keys.surrogate_key(F.col("source_file"), F.col("source_row_number"))
+    digests = spark.createDataFrame([(p, found[p].file_sha256 == backwards[p].file_sha256 == own[p].file_sha256) for p in landed], "source_period string, own_digest boolean")
+    counted = lake.raw(TRIPS).groupBy("source_period").agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct(key).alias("key_count"))
+    return counted.join(digests, "source_period")
+
+
 def period_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _reloaded(spark, sf_dir)
     wanted = {"customer_key": "c_custkey", "part_key": "l_partkey"}
@@ -643,6 +666,7 @@ def queries() -> dict[str, Query]:
         "pipeline_fact": pipeline_fact,
         "folder_period": folder_period,
         "same_names": same_names,
+        "landed_paths": landed_paths,
         "period_reload": period_reload,
         "zone_reload": zone_reload,
         "audit_upsert": audit_upsert,

@@ -183,6 +183,94 @@ def test_period_of_several_files(spark, lake, tmp_path):
     assert lake.audit().first().source_file == "p"
 
 
+def test_nested_files_are_loaded_and_counted(spark, lake, tmp_path):
+    folder = tmp_path / "p"
+    spark.range(1).coalesce(1).write.parquet(str(folder))
+    spark.range(2).coalesce(1).write.parquet(str(folder / "x" / "deep"))
+    spark.sql("SELECT 'a' AS other").coalesce(1).write.parquet(str(folder / "y=1"))
+    assert lake.load_period(str(folder), "2025-01").row_count == 4
+    assert lake.field_names(TRIPS) == ["id", "other"]
+    files = {r.source_file.rsplit("/", 1)[0] for r in lake.raw(TRIPS).collect()}
+    assert files == {"2025-01", "2025-01/x/deep", "2025-01/y=1"}
+    only_nested = tmp_path / "q"
+    spark.range(3).coalesce(1).write.parquet(str(only_nested / "z"))
+    assert lake.load_period(str(only_nested), "2025-02").row_count == 3
+
+
+def test_one_job_finds_all_schemas(spark, lake, tmp_path):
+    """Jobs do not grow with the files of a period."""
+    tracker = spark.sparkContext.statusTracker()
+    jobs = []
+    for n in (4, 40):
+        folder = str(tmp_path / f"p{n}")
+        spark.range(80).repartition(n).write.parquet(folder)
+        spark.range(80).selectExpr("cast(id AS string) id").repartition(n).write.mode("append").parquet(folder)
+        spark.sparkContext.setJobGroup(f"load {n}", "")
+        assert lake.load_period(folder, "2025-01").row_count == 160
+        spark.sparkContext._jsc.sc().clearJobGroup()
+        jobs.append(len(tracker.getJobIdsForGroup(f"load {n}")))
+    # More than 32 paths are listed by a job of their own.
+    assert jobs[1] <= jobs[0] + 4
+
+
+AWKWARD = ["my land", "a+b", "100%", "x%20y", "é", "day=1", "[a]{b}"]
+
+
+def test_paths_with_awkward_names(spark, lake, tmp_path):
+    folder = tmp_path / "my land+%" / "m"
+    for name in AWKWARD:
+        spark.range(2).coalesce(1).write.parquet(str(tmp_path / "one"), mode="overwrite")
+        file = next((tmp_path / "one").glob("*.parquet"))
+        (folder / name).mkdir(parents=True)
+        write(folder / name / "d.parquet", file.read_bytes(), "wb")
+    # A second schema, so that files are read by their paths.
+    spark.sql("SELECT 'a' AS other").coalesce(1).write.parquet(str(folder / "z"))
+    assert lake.load_period(str(folder), "2025-01").row_count == 2 * len(AWKWARD) + 1
+    rows = lake.raw(TRIPS)
+    assert rows.select("source_file", "source_row_number").distinct().count() == rows.count()
+    assert {f"2025-01/{name}/d.parquet" for name in AWKWARD} <= {r.source_file for r in rows.collect()}
+
+
+def test_paths_find_their_period_in_any_order(spark, tmp_path):
+    """Suffixes of one another, a folder inside another, and many periods."""
+    near, far = tmp_path / "d" / "m", tmp_path / "mnt" / str(tmp_path)[1:] / "d" / "m"
+    for i, folder in enumerate((near, far, near / "in")):
+        folder.mkdir(parents=True)
+        write(folder / "a.parquet", b"PAR1" + bytes([i]) + b"PAR1", "wb")
+    many = {f"p{i}": tmp_path / "many" / str(i) for i in range(300)}
+    for i, folder in enumerate(many.values()):
+        folder.mkdir(parents=True)
+        write(folder / "a.parquet", b"PAR1" + str(i).encode() + b"PAR1", "wb")
+    landed_ = {n: str(p) for n, p in {"near": near, "far": far, "in": near / "in", **many}.items()}
+    found = landing.origins(spark, landed_)
+    assert found == landing.origins(spark, dict(reversed(landed_.items())))
+    assert found["far"].file_sha256 == hashlib.sha256(b"PAR1\x01PAR1").hexdigest()
+    assert found["in"].file_sha256 == hashlib.sha256(b"PAR1\x02PAR1").hexdigest()
+    assert found["near"].byte_count == 18 and found["p299"].file_sha256 == hashlib.sha256(b"PAR1299PAR1").hexdigest()
+
+
+def test_digests_of_streamed_files(spark, tmp_path):
+    """Line ends of every kind, none at all, and files larger than a task's share."""
+    blobs = [b"\n", b"\n\n\n", b"a\r\nb\r", b"a\n", b"\xef\xbb\xbfa\nb", b"\xef\xbb\xbf\n", b"\xff\x00\n\x00" * 999, b"x" * 3_000_000, os.urandom(2_000_000), b"\xef\xbb\xbf"]
+    for i, blob in enumerate(blobs):
+        write(tmp_path / f"{i}.bin", blob, "wb")
+    found = {r.source_file: (r.byte_count, r.file_sha256) for r in landing.manifest(spark, str(tmp_path)).collect()}
+    assert found == {f"{i}.bin": (len(b), hashlib.sha256(b).hexdigest()) for i, b in enumerate(blobs)}
+    write(tmp_path / "x.csv.gz", b"abc", "wb")
+    with pytest.raises(ValueError):
+        landing.manifest(spark, str(tmp_path))
+
+
+def test_settings_of_the_session_reach_the_capture(spark, lake, tmp_path):
+    spark.conf.set("spark.sql.parquet.binaryAsString", "true")
+    try:
+        rows = landing.capture(spark, land(spark.range(2), tmp_path / "x"), "2025-01").rows
+        assert rows.sparkSession.conf.get("spark.sql.parquet.binaryAsString") == "true"
+        assert spark.conf.get("spark.sql.caseSensitive") == "false"
+    finally:
+        spark.conf.unset("spark.sql.parquet.binaryAsString")
+
+
 def test_failed_load_keeps_the_old_version(spark, lake, tmp_path):
     lake.load_period(trip_file(spark, tmp_path, "2025-01", [{}]), "2025-01")
     bad = {

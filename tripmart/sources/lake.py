@@ -152,7 +152,7 @@ class Lake:
         origin = origin or landing.origin(self.spark, path)
         if not origin.has_signature:
             raise ValueError(f"{path} is not a Parquet file")
-        rows, names = landing.capture(self.spark, path, period)
+        rows, names = landing.capture(self.spark, path, period, origin.schemas)
         return self._load(rows, dataset, period, origin, url or path, names)
 
     def load_lookup(self, path: str, dataset: str = ZONES, url: str | None = None) -> Load:

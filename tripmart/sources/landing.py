@@ -1,16 +1,30 @@
-"""Landed files: manifest, period checks and raw capture."""
+"""Landed files: listing, manifest, period checks and raw capture.
+
+A landed path is a file or a folder of files at any depth; names that begin with ``_``
+or ``.`` are left out, as by any reader of Spark. Listing, digests and capture see the
+same files, so what is captured is what was hashed and counted.
+"""
 
 from __future__ import annotations
 
+import hashlib
+import io
 import re
+import struct
+import sys
 from collections import defaultdict
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from typing import NamedTuple
 
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.session import SETTINGS
+# Executors need no copy of the library for the digests.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # The period form, the file name form and the file signature.
 PERIOD_FORM = r"20\d{2}-(0[1-9]|1[0-2])"
@@ -21,6 +35,12 @@ SIGNATURE = b"PAR1"
 
 # The digests of a folder's files are joined in groups by their first digits.
 DIGEST_GROUP_DIGITS = 3
+# The end of a file that is kept for its footer while the file streams by.
+FOOTER_BYTES = 64 << 20
+# Bytes of small files that one task hashes.
+TASK_BYTES = 128 << 20
+# Spark's readers open files with these names through a codec.
+_PACKED = r"(?i)\.(gz|bz2|deflate|lz4|snappy|zst|zstd)$"
 
 
 class EmptyLoad(RuntimeError):
@@ -34,64 +54,241 @@ class Capture(NamedTuple):
     names: list[str]
 
 
-_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+# Paths
+
+
+def _local(path: str) -> str:
+    return re.sub(r"^file:/+", "/", path)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system's name, as ``plain_path`` gives those of its files."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(context._jsc.hadoopConfiguration())
+    return _local(system.makeQualified(place).toString()).rstrip("/")
+
+
+def plain_path(uri: Column) -> Column:
+    """The path that a file URI such as ``_metadata.file_path`` spells with escapes."""
+    text = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(text, "^file:/+", "/")
 
 
-def relative_file(path: str, file_path: Column) -> Column:
+def relative_file(spark: SparkSession, path: str, uri: Column) -> Column:
     """The part of a file's path below ``path``; its name if ``path`` is the file."""
-    root = re.sub(_SCHEME, "", path).rstrip("/")
-    plain = F.regexp_replace(file_path, _SCHEME, "")
-    name = F.element_at(F.split(file_path, "/"), -1)
-    at = F.locate(f"{root}/", plain)
-    below = F.substring(plain, at + len(root) + 1, F.length(plain))
-    return F.when(at > 0, below).otherwise(name)
+    below = f"{qualified(spark, path)}/"
+    plain = plain_path(uri)
+    name = F.element_at(F.split(plain, "/"), -1)
+    return F.when(plain.startswith(below), F.substring(plain, len(below) + 1, 1 << 30)).otherwise(name)
+
+
+def _own_session(spark: SparkSession, **settings: str) -> SparkSession:
+    """A session with all settings of ``spark`` and some of its own."""
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    for key, value in settings.items():
+        session.conf.set(key, value)
+    return session
+
+
+class Listed(NamedTuple):
+    """Sizes of the files at some paths."""
+
+    files: int
+    total: int
+    largest: int
+    least: int
+
+
+def _sizes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    return files.select(F.regexp_replace("path", "^file:/+", "/").alias("path"), F.col("length").alias("byte_count"))
+
+
+def listing(spark: SparkSession, *paths: str) -> Listed:
+    """Sizes of the files at or below the paths; files without bytes stop it, and packed ones.
+
+    Spark lists large trees in a job. Its readers skip files without bytes, so the
+    numbers of listed and of read files are compared.
+    """
+    files = _sizes(spark, paths)
+    size = F.col("byte_count")
+    facts = files.agg(
+        F.count(F.lit(1)).alias("files"), F.sum(size).alias("total"), F.max(size).alias("largest"), F.min(size).alias("least"),
+        F.max(F.when(F.col("path").rlike(_PACKED), F.col("path"))).alias("packed"),
+    ).first()
+    if facts["packed"]:
+        raise ValueError(f"{facts['packed']} is packed; land it unpacked")
+    empty = len(files._jdf.inputFiles()) - facts["files"]
+    if empty or not facts["files"]:
+        raise EmptyLoad(f"{empty} files without bytes, {facts['files']} with, at {sorted(paths)[:5]}")
+    return Listed(facts["files"], facts["total"], facts["largest"], facts["least"])
+
+
+# Digests
+
+
+class _Tail(io.RawIOBase):
+    """A file of which only the end is at hand."""
+
+    def __init__(self, size: int, tail: bytes):
+        self.size, self.tail, self.at = size, tail, 0
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self.at
+
+    def seek(self, to: int, whence: int = 0) -> int:
+        self.at = to + (0, self.at, self.size)[whence]
+        return self.at
+
+    def read(self, n: int = -1) -> bytes:
+        first = self.at - (self.size - len(self.tail))
+        if first < 0:
+            raise OSError("the start of the file is not at hand")
+        out = self.tail[first : len(self.tail) if n is None or n < 0 else first + n]
+        self.at += len(out)
+        return out
+
+
+class _Digest:
+    """SHA-256, signature and schema of one file whose lines stream by."""
+
+    MARK = b"\xef\xbb\xbf"
+
+    def __init__(self, name: str, size: int):
+        self.name, self.size, self.seen, self.lines = name, size, 0, 0
+        self.tail, self.kept, self.head = [], 0, b""
+        # The reader takes a byte order mark off the first line; the size tells.
+        self.plain, self.marked = hashlib.sha256(), hashlib.sha256(self.MARK)
+
+    def add(self, lines: list[bytes]) -> None:
+        self._update((b"\n" if self.lines else b"") + b"\n".join(lines))
+        self.lines += len(lines)
+
+    def _update(self, data: bytes) -> None:
+        if len(self.head) < len(SIGNATURE):
+            self.head = (self.head + data)[: len(SIGNATURE)]
+        self.plain.update(data)
+        if self.marked is not None:
+            self.marked.update(data)
+            if self.head == SIGNATURE:
+                self.marked = None
+        self.seen += len(data)
+        self.tail.append(data)
+        self.kept += len(data)
+        while self.kept - len(self.tail[0]) >= FOOTER_BYTES:
+            self.kept -= len(self.tail.pop(0))
+
+    def facts(self) -> tuple[str, int, str, bool, str | None]:
+        missing = self.size - self.seen
+        if missing in (1, len(self.MARK) + 1):
+            self._update(b"\n")
+        if self.size == self.seen:
+            digest = self.plain
+        elif self.size == self.seen + len(self.MARK) and self.marked is not None:
+            digest = self.marked
+        else:
+            raise ValueError(f"{self.name}: {self.seen} of {self.size} bytes were read")
+        tail = b"".join(self.tail)
+        signed = self.size >= 2 * len(SIGNATURE) and self.head == SIGNATURE and tail.endswith(SIGNATURE)
+        return self.name, self.size, digest.hexdigest(), signed, self._schema(tail) if signed else None
+
+    def _schema(self, tail: bytes) -> str | None:
+        """A digest of what Spark infers a file's schema from; null if the footer is broken."""
+        (length,) = struct.unpack("<I", tail[-8:-4])
+        if length + 8 > len(tail):
+            return None
+        try:
+            found = pq.read_metadata(pa.PythonFile(_Tail(self.size, tail), mode="r"))
+        except (pa.ArrowInvalid, OSError):
+            return None
+        own = (found.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata", b"")
+        # The first line of the schema's text names the object in memory.
+        columns = str(found.schema).partition("\n")[2]
+        return hashlib.md5(columns.encode() + own).hexdigest()
+
+
+def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    at = None
+
+    def done(digest: _Digest) -> pa.RecordBatch:
+        arrays = [pa.array([value], kind) for value, kind in zip(digest.facts(), (pa.string(), pa.int64(), pa.string(), pa.bool_(), pa.string()), strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names=["path", "byte_count", "file_sha256", "has_signature", "schema"])
+
+    for batch in batches:
+        runs = pc.run_end_encode(batch.column(0))
+        first = 0
+        for last, name in zip(runs.run_ends.to_pylist(), runs.values.to_pylist(), strict=True):
+            if at is None or at.name != name:
+                if at is not None:
+                    yield done(at)
+                at = _Digest(name, batch.column(1)[first].as_py())
+            at.add(batch.column(2).slice(first, last - first).to_pylist())
+            first = last
+    if at is not None:
+        yield done(at)
 
 
 def manifest(spark: SparkSession, *paths: str) -> DataFrame:
-    """Name, path, size, SHA-256 and signature of each non-empty file, read once.
+    """Name, path, size, SHA-256, signature and schema of each file, read once.
 
-    A SHA-256 is sequential per file, so files are the unit of work. Every file is
-    one binary value of Spark's own reader, which refuses files of 2 GiB or more:
-    land larger ones as a folder of files.
+    A SHA-256 is sequential per file, so a task streams whole files, one after the
+    other, in the pieces between newline bytes: memory holds a batch of pieces and the
+    end of the file, whatever its size. ``schema`` tells files of unlike Parquet schemas
+    apart; it is null if there is no readable footer.
     """
-    mark = F.lit(SIGNATURE)
-    return spark.read.format("binaryFile").load(list(paths)).select(
-        F.element_at(F.split("path", "/"), -1).alias("source_file"),
-        "path",
-        F.col("length").alias("byte_count"),
-        F.sha2("content", 256).alias("file_sha256"),
-        (
-            (F.col("length") >= 2 * len(SIGNATURE))
-            & (F.substring("content", 1, len(SIGNATURE)) == mark)
-            & (F.substring("content", -len(SIGNATURE), len(SIGNATURE)) == mark)
-        ).alias("has_signature"),
-    )
+    listed = listing(spark, *paths)
+    # No file is split, and small ones share tasks.
+    share = listed.total // spark.sparkContext.defaultParallelism
+    most = str(max(listed.largest, min(TASK_BYTES, share), 1))
+    session = _own_session(spark, **{"spark.sql.files.maxPartitionBytes": most, "spark.sql.files.minPartitionNum": "1", "spark.sql.files.openCostInBytes": "65536"})
+    lines = session.read.format("text").option("lineSep", "\n").option("recursiveFileLookup", True).load(list(paths))
+    pieces = lines.select(plain_path(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_size").alias("byte_count"), F.col("value").cast("binary").alias("piece"))
+    found = pieces.mapInArrow(_digested, "path string, byte_count long, file_sha256 string, has_signature boolean, schema string")
+    if listed.least <= len(_Digest.MARK):
+        # A file that is nothing but a byte order mark has no line.
+        digest = F.coalesce("file_sha256", F.sha2(F.lit(bytearray(_Digest.MARK)), 256)).alias("file_sha256")
+        signed = F.coalesce("has_signature", F.lit(False)).alias("has_signature")
+        found = _sizes(session, paths).join(found.drop("byte_count"), "path", "left").select("path", "byte_count", digest, signed, "schema")
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("source_file"), "*")
 
 
 def origins(spark: SparkSession, landed: Mapping[str, str]) -> dict[str, Row]:
     """The audit facts of what lies at each path, by its name, from one job.
 
     A name's path may be one file or a folder of files, which are then hashed in
-    parallel. The digest of a folder is taken over its files' digests: they are
-    sorted and joined in groups by their first digits, then over the groups. Only
-    digests and sizes are gathered, never contents.
+    parallel. A file counts for every path that it lies at or below, found by a join of
+    its path and its folders with the landed paths. The digest of a folder is taken over
+    its files' digests: they are sorted and joined in groups by their first digits, then
+    over the groups. Only digests, sizes and, of folders with several schemas, the paths
+    of each are gathered, never contents.
     """
     if not landed:
         return {}
-    files = manifest(spark, *landed.values())
-    plain = F.regexp_replace("path", _SCHEME, "")
-    which = F.lit(None).cast("string")
-    for name, path in landed.items():
-        root = re.sub(_SCHEME, "", path).rstrip("/")
-        inside = plain.endswith(root) | (F.locate(f"{root}/", plain) > 0)
-        which = F.when(inside, name).otherwise(which)
-    groups = files.withColumn("name", which).groupBy("name", F.substring("file_sha256", 1, DIGEST_GROUP_DIGITS).alias("digits")).agg(
+    roots = {name: qualified(spark, path) for name, path in landed.items()}
+    tops = {landed[n] for n, root in roots.items() if not any(root.startswith(f"{other}/") for other in roots.values())}
+    files = manifest(spark, *sorted(tops))
+    parts = F.split("path", "/")
+    places = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))
+    named = files.sparkSession.createDataFrame(list(roots.items()), "name string, root string")
+    within = files.distinct().withColumn("root", F.explode(places)).join(named, "root")
+    groups = within.groupBy("name", F.substring("file_sha256", 1, DIGEST_GROUP_DIGITS).alias("digits")).agg(
         F.count(F.lit(1)).alias("files"),
         F.min("source_file").alias("only_file"),
         F.sum("byte_count").alias("byte_count"),
         F.bool_and("has_signature").alias("has_signature"),
         F.min("file_sha256").alias("only_digest"),
         F.sha2(F.concat_ws(",", F.sort_array(F.collect_list("file_sha256"))), 256).alias("digest"),
+        F.collect_list(F.struct("schema", "path")).alias("schemas"),
     )
     in_order = F.transform(F.array_sort(F.collect_list(F.struct("digits", "digest"))), lambda g: g["digest"])
     facts = groups.groupBy("name").agg(
@@ -101,20 +298,26 @@ def origins(spark: SparkSession, landed: Mapping[str, str]) -> dict[str, Row]:
         F.bool_and("has_signature").alias("has_signature"),
         F.min("only_digest").alias("only_digest"),
         F.sha2(F.concat_ws(",", in_order), 256).alias("digest"),
+        F.array_sort(F.flatten(F.collect_list("schemas"))).alias("schemas"),
     )
+    several = F.size(F.array_distinct(F.transform("schemas", lambda s: s["schema"]))) > 1
+    facts = facts.withColumn("schemas", F.when(several, F.col("schemas")).otherwise(F.slice("schemas", 1, 1)))
     found = {row["name"]: row for row in facts.collect()}
     out = {}
     for name, path in landed.items():
         row = found.get(name)
-        # Spark lists files without bytes but never reads them.
-        if row is None or row["files"] < _listed(spark, path):
-            raise EmptyLoad(f"{path} has a file without bytes")
+        if row is None:
+            raise EmptyLoad(f"{path} has no file")
         single = row["files"] == 1
+        by_schema: dict[str | None, list[str]] = defaultdict(list)
+        for file in row["schemas"]:
+            by_schema[file["schema"]].append(file["path"])
         out[name] = Row(
             source_file=row["only_file"] if single else path.rstrip("/").rsplit("/", 1)[-1],
             byte_count=row["byte_count"],
             has_signature=row["has_signature"],
             file_sha256=row["only_digest"] if single else row["digest"],
+            schemas=dict(by_schema),
         )
     return out
 
@@ -124,11 +327,6 @@ def origin(spark: SparkSession, path: str) -> Row:
     return origins(spark, {path: path})[path]
 
 
-def _listed(spark: SparkSession, path: str) -> int:
-    """Files at ``path``, empty ones too. Only the number leaves Spark's listing."""
-    return len(spark.read.format("binaryFile").load(path)._jdf.inputFiles())
-
-
 def unsigned_files(files: DataFrame) -> DataFrame:
     """Files that cannot be Parquet: too short or without the mark at both ends."""
     return files.filter(~F.col("has_signature")).select("source_file", "byte_count")
@@ -171,40 +369,36 @@ def checked_periods(periods: Sequence[str], landed: Sequence[str], strict: bool
     return [p for p in periods if p not in missing]
 
 
-def _any_columns(spark: SparkSession) -> SparkSession:
-    """A session in which column names may differ in case only."""
-    session = spark.newSession()
-    for key in SETTINGS:
-        value = spark.conf.get(key, None)
-        if value is not None:
-            session.conf.set(key, value)
-    session.conf.set("spark.sql.caseSensitive", "true")
-    return session
+def _literal(path: str) -> str:
+    """A path in which no character is a pattern."""
+    return re.sub(r"([\\{}\[\]*?,^])", r"\\\1", path)
 
 
-def capture(spark: SparkSession, path: str, period: str) -> Capture:
-    """Each row of the Parquet files at ``path`` as one record with its origin.
+def capture(spark: SparkSession, path: str, period: str, schemas: Mapping[str | None, Sequence[str]] | None = None) -> Capture:
+    """Each row of the Parquet files at or below ``path`` as one record with its origin.
 
-    Files may differ in names and types of columns. They are grouped by schema; each
-    group is read as it is, so a record holds the columns of its own file and no
-    file narrows another. ``source_file`` is the period and the file's place below
-    ``path``: with the row number, unique over all periods.
+    Files may differ in names and types of columns. They are grouped by the schema that
+    ``origins`` found in their footers; ``schemas`` may bring it. Each group is read as it
+    is, so a record holds the columns of its own file and no file narrows another. A
+    folder of one schema is read as a folder. ``source_file`` is the period and the
+    file's place below ``path``: with the row number, unique over all periods.
     """
-    session = _any_columns(spark)
-    listed = session.read.format("binaryFile").load(path).select("path").orderBy("path").collect()
-    groups: dict[str, list[str]] = defaultdict(list)
+    schemas = origin(spark, path).schemas if schemas is None else schemas
+    if None in schemas:
+        raise ValueError(f"no readable footer: {schemas[None][:5]}")
+    # Column names may differ in case only.
+    session = _own_session(spark, **{"spark.sql.caseSensitive": "true"})
     names: dict[str, None] = {}
-    for row in listed:
-        schema = session.read.parquet(row["path"]).schema
-        groups[schema.json()].append(row["path"])
-        names.update(dict.fromkeys(schema.fieldNames()))
     rows = None
-    for files in groups.values():
-        read = session.read.parquet(*files)
+    for files in schemas.values():
+        first = session.read.parquet(_literal(files[0]))
+        read = session.read.schema(first.schema).option("recursiveFileLookup", True)
+        read = read.parquet(*(map(_literal, files) if len(schemas) > 1 else [path]))
+        names.update(dict.fromkeys(first.columns))
         columns = (F.col("`" + c.replace("`", "``") + "`") for c in read.columns)
         part = read.select(
             F.to_variant_object(F.struct(*columns)).alias("raw_record"),
-            F.concat(F.lit(f"{period}/"), relative_file(path, F.col("_metadata.file_path"))).alias("source_file"),
+            F.concat(F.lit(f"{period}/"), relative_file(spark, path, F.col("_metadata.file_path"))).alias("source_file"),
             F.lit(period).alias("source_period"),
             F.col("_metadata.row_index").alias("source_row_number"),
             F.current_timestamp().alias("loaded_at"),

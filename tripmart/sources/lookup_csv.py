@@ -42,7 +42,7 @@ def read_lookup(spark: SparkSession, path: str, multiline: bool = False) -> Data
                 F.when(~F.col(name).isin(*NULL_TEXTS), F.col(name)).alias(column)
                 for name, column in zip(HEADER, COLUMNS)
             ),
-            relative_file(path, F.col("_metadata.file_path")).alias("source_file"),
+            relative_file(spark, path, F.col("_metadata.file_path")).alias("source_file"),
             F.col("_metadata.file_block_start").alias("__block"),
         )
     )
