@@ -22,16 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a single file, which may be one row group and so one task.
-
-    A table of many files is left alone: it is spread already.
-    """
-    if len(df.inputFiles()) > 1:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def _every(column: str, n: int) -> Column:
     return F.col(column) % n == 0
 
@@ -47,12 +37,13 @@ def _text(column: Column) -> Column:
 
 def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text column per trip field, plus provenance."""
-    lines = _spread(table(spark, sf_dir, "lineitem"))
+    lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     joined = (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        # Both sides grow with the data, so they meet by a shuffle.
+        lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
     )

@@ -669,6 +669,26 @@ def oracle_sql() -> dict[str, str]:
                 (select trip_sk from {_TWINS} group by trip_sk having count(*) > 1)""",
         ),
         "pipeline_kpis": _sql([*TO_FOLDED_FACT, KPIS], "select * from kpis"),
+        "staging_view": _sql(
+            TO_FOLDED,
+            """select source_period, dq_status, count(*) as row_count,
+                cast(count(*) filter (where duplicate_rank > 1) as bigint) as repeated,
+                max(duplicate_rank) as highest_rank
+            from staged group by source_period, dq_status""",
+        ),
+        "listing_order": _sql(
+            [*TO_AUDIT, "periods as (select distinct source_period from trips_raw)"],
+            """select 'audit_listing' as listing, row_number() over (order by dataset, source_period) - 1 as place,
+                dataset || ' ' || source_period as row from audit
+            union all select 'loads_per_dataset', row_number() over (order by dataset) - 1, dataset
+                from (select distinct dataset from audit where status = 'SUCCESS')
+            union all select 'quality_by_period', row_number() over (order by source_period) - 1, source_period
+                from periods""",
+        ),
+        "refusals": """select unnest(['no rows', 'not Parquet', 'broken footer', 'not there', 'bad period',
+                'lookup row too wide', 'lookup header', 'lost before its commit', 'other writer']) as attempt,
+            true as refused, (select count(*) from orders) as visible_rows,
+            (select count(*) from orders) as audited_rows, (select count(*) from customer) as zone_rows""",
         "pipeline_summary": _sql([*TO_FOLDED, SUMMARY], "select * exclude (latest_load_at) from summary"),
         "pipeline_fact": _sql(
             TO_FOLDED_FACT, f"select {_doubles([c for c in _FACT_COLUMNS if c not in ('trip_sk', 'source_file', 'source_row_number', 'loaded_at')])} from fact"

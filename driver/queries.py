@@ -15,7 +15,7 @@ from tripmart.functions import keys
 from tripmart.operators import checks as ck
 from tripmart.operators import dedup
 from tripmart.plans import build, dims, facts, reports, trip_checks, trips
-from tripmart.session import shared_dir
+from tripmart.session import remove_stored, shared_dir, stored
 from tripmart.sources import landing, lookup_csv
 from tripmart.sources.lake import TRIPS, ZONES, Lake
 
@@ -36,13 +36,6 @@ def plain(df: DataFrame) -> DataFrame:
     )
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table that several branches read, as the build does, and read it."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips.typed(adapter.trips_raw(spark, sf_dir))
 
@@ -56,7 +49,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips.clean(stored(labelled(spark, sf_dir), "labelled"))
+    return trips.clean(stored(trips.candidates(labelled(spark, sf_dir)), "candidates"))
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +65,9 @@ def kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(trips.quality_summary(stored(labelled(spark, sf_dir), "labelled")))
+    counted = ["source_period", "source_file", "source_row_number", "loaded_at", "record_hash", "dq_status"]
+    flags = ["has_passenger_count_anomaly", "has_financial_anomaly"]
+    return plain(trips.quality_summary(stored(labelled(spark, sf_dir).select(*counted, *flags), "labelled")))
 
 
 def dimensions(spark: SparkSession, sf_dir: str, first: str = FIRST_DAY, last: str = LAST_DAY) -> dict[str, DataFrame]:
@@ -553,15 +548,8 @@ def signature_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The whole run
 
 
-# Roots of finished runs; three queries read the tables of one.
-_RUNS: dict[tuple[str, str], str] = {}
-
-
 def _built(spark: SparkSession, sf_dir: str) -> Lake:
     """Trips landed as Parquet by period, then loaded, built and gated."""
-    run = (spark.sparkContext.applicationId, sf_dir)
-    if run in _RUNS:
-        return Lake(spark, _RUNS[run])
     landing_folder = shared_dir(spark, "landing")
     folded = adapter.folded_trips(spark, sf_dir)
     named = folded.select("source_period", *(F.col(c).alias(key) for c, key in trips.FIELDS.items()))
@@ -577,7 +565,7 @@ def _built(spark: SparkSession, sf_dir: str) -> Lake:
     )
     csv = _write_csv(adapter.zones_raw(spark, sf_dir), shared_dir(spark, "zones"), lookup_csv.HEADER)
     build.run(lake, {p: f"{landing_folder}/source_period={p}" for p in periods}, csv, options)
-    _RUNS[run] = lake.root
+    remove_stored(spark, landing_folder, csv)
     return lake
 
 
@@ -594,6 +582,90 @@ def pipeline_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(_built(spark, sf_dir).table(build.FACT).drop("trip_sk", "source_file", "source_row_number", "loaded_at"))
 
 
+def staging_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staging view over a finished run's labelled rows."""
+    rows = build.staging(_built(spark, sf_dir))
+    return rows.groupBy("source_period", "dq_status").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if(F.col("duplicate_rank") > 1).alias("repeated"),
+        F.max("duplicate_rank").alias("highest_rank"),
+    )
+
+
+def listing_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place at which each row of the ordered listings comes out; a row per period or dataset."""
+    audit = stored(adapter.audit(spark, sf_dir), "audit")
+    listings = {
+        "audit_listing": reports.audit_listing(audit).select(F.concat_ws(" ", "dataset", "source_period")),
+        "loads_per_dataset": reports.loads_per_dataset(audit).select("dataset"),
+        "quality_by_period": reports.quality_by_period(summary(spark, sf_dir)).select("source_period"),
+    }
+    rows = [(name, i, row[0]) for name, df in listings.items() for i, row in enumerate(df.collect())]
+    return spark.createDataFrame(rows, "listing string, place long, row string")
+
+
+def refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stops each bad load of a period or the lookup, and what is visible afterwards.
+
+    The good version was loaded before; a refused one must leave its rows and its audit.
+    """
+    lake = _loaded_lake(spark, sf_dir, ("orders", "2024-01"))
+    lake.load_lookup(_zone_csv(spark, sf_dir))
+
+    def folder_of(df: DataFrame, form: str = "parquet") -> str:
+        folder = shared_dir(spark, "landing")
+        df.write.format(form).save(folder)
+        return folder
+
+    customers = table(spark, sf_dir, "customer")
+    names = customers.select("c_name")
+    wide = adapter.lookup_raw(spark, sf_dir).select(F.concat_ws(",", F.lit(1), F.lit("a"), F.lit("b"), F.lit("c"), "source_row_number").alias("value"))
+    bad_lookup = folder_of(spark.createDataFrame([(",".join(lookup_csv.HEADER),)], "value string").unionByName(wide).coalesce(1), "text")
+    absent = shared_dir(spark, "absent")
+    attempts = {
+        "no rows": lambda: lake.load_period(folder_of(customers.where(F.lit(False))), "2024-01"),
+        "not Parquet": lambda: lake.load_period(folder_of(names, "text"), "2024-01"),
+        "broken footer": lambda: lake.load_period(folder_of(names.select(F.concat(F.lit("PAR1"), F.repeat("c_name", 9), F.lit("PAR1")).alias("value")).limit(1), "text"), "2024-01"),
+        "not there": lambda: lake.load_period(absent, "2024-01"),
+        "bad period": lambda: lake.load_period(f"{sf_dir}/customer.parquet", "2024-13"),
+        "lookup row too wide": lambda: lake.load_lookup(bad_lookup),
+        "lookup header": lambda: lake.load_lookup(_write_csv(adapter.lookup_raw(spark, sf_dir), shared_dir(spark, "zones"), lookup_csv.HEADER[::-1])),
+        "lost before its commit": lambda: _uncommitted(lake, f"{sf_dir}/customer.parquet"),
+        "other writer": lambda: _overtaken(lake, f"{sf_dir}/customer.parquet"),
+    }
+    rows = []
+    for label, attempt in attempts.items():
+        try:
+            attempt()
+            refused = False
+        except Exception:  # any refusal will do; what stays visible is what counts
+            refused = True
+        seen = lake.raw(TRIPS).where("source_period = '2024-01'").count()
+        audited = lake.audit().where(F.col("dataset") == TRIPS).where("source_period = '2024-01'").first().row_count
+        rows.append((label, refused, seen, audited, lake.raw(ZONES).count()))
+    return spark.createDataFrame(rows, "attempt string, refused boolean, visible_rows long, audited_rows long, zone_rows long")
+
+
+def _uncommitted(lake: Lake, path: str) -> None:
+    """A load that is lost between its rows and its audit row."""
+
+    class Lost(Lake):
+        def _append(self, *row) -> None:
+            raise RuntimeError("lost before the commit")
+
+    Lost(lake.spark, lake.root).load_period(path, "2024-01")
+
+
+def _overtaken(lake: Lake, path: str) -> None:
+    """A load whose writer read the log before another one committed."""
+
+    class Late(Lake):
+        def _next(self, *log) -> int:
+            return super()._next(*log) - 1
+
+    Late(lake.spark, lake.root).load_period(path, "2024-01")
+
+
 def missing_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.missing_periods(ship_months(spark, sf_dir), order_months(spark, sf_dir))
 
@@ -664,6 +736,9 @@ def queries() -> dict[str, Query]:
         "pipeline_kpis": pipeline_kpis,
         "pipeline_summary": pipeline_summary,
         "pipeline_fact": pipeline_fact,
+        "staging_view": staging_view,
+        "listing_order": listing_order,
+        "refusals": refusals,
         "folder_period": folder_period,
         "same_names": same_names,
         "landed_paths": landed_paths,

@@ -11,7 +11,7 @@ from tripmart.operators.checks import ChecksFailed, evaluate, gate, run_checks
 from tripmart.plans import build, trip_checks, trips
 from tripmart.sources import landing, lookup_csv
 from tripmart.sources.landing import EmptyLoad
-from tripmart.sources.lake import TRIPS, ZONES, Lake
+from tripmart.sources.lake import TRIPS, ZONES, CommitConflict, Lake
 
 HEADER = "LocationID,Borough,Zone,service_zone\n"
 ZONE_LINES = HEADER + '10,Queens,"A, first",Boro\n20,Bronx,B,N/A\n'
@@ -314,6 +314,35 @@ def test_a_write_without_its_audit_row_is_invisible(spark, lake, tmp_path, monke
     assert lake.raw(TRIPS).count() == 3
 
 
+def test_of_two_writers_one_commits(spark, lake, tmp_path, monkeypatch):
+    first, second = Lake(spark, lake.root), Lake(spark, lake.root)
+    path = trip_file(spark, tmp_path, "2025-01", [{}])
+    more = trip_file(spark, tmp_path, "2025-02", [{}, {}])
+    # The second reads the log; then the first commits.
+    taken = second._next(second._audit_path)
+    monkeypatch.setattr(second, "_next", lambda *log: taken)
+    first.load_period(path, "2025-01")
+    with pytest.raises(CommitConflict):
+        second.load_period(more, "2025-01")
+    assert lake.raw(TRIPS).count() == 1 and lake.audit().first().row_count == 1
+    monkeypatch.undo()
+    second.load_period(more, "2025-01")
+    assert lake.raw(TRIPS).count() == 2
+    with pytest.raises(CommitConflict):
+        monkeypatch.setattr(second, "_next", lambda *log: 1)
+        lake.write_table("t", spark.range(1))
+        second.write_table("t", spark.range(2))
+    assert lake.table("t").count() == 1
+
+
+def test_a_log_row_that_was_not_finished_is_no_commit(spark, lake, tmp_path):
+    lake.load_period(trip_file(spark, tmp_path, "2025-01", [{}]), "2025-01")
+    write(tmp_path / "lake" / "bronze" / "ingestion_audit" / ".2-lost", "{")
+    assert lake.audit().count() == 1 and lake.audit().first().loaded_at is not None
+    lake.load_period(trip_file(spark, tmp_path, "2025-02", [{}]), "2025-02")
+    assert lake.audit().count() == 2
+
+
 def test_drifted_files_load_side_by_side(spark, lake, tmp_path):
     lake.load_period(land(spark.sql("SELECT 1 AS VendorID, 'a' AS extra"), tmp_path / "1"), "2025-01")
     lake.load_period(land(spark.sql("SELECT '2' AS vendorid, 1.5D AS request_source"), tmp_path / "2"), "2025-02")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tripmart.operators import dedup
 from tripmart.operators.classify import Rule, classify, twin_statuses
 from tripmart.plans import trips
+from tripmart.session import stored
 
 
 def statuses(spark, *changes):
@@ -211,3 +212,59 @@ def test_hot_record_is_reduced_before_the_shuffle(spark):
     plan = firsts._jdf.queryExecution().executedPlan().toString()
     assert plan.index("functions=[count(1), min(") < plan.index("Exchange") < plan.index("partial_count(1), partial_min(")
     assert "Join" not in plan
+
+
+@pytest.fixture
+def low_skew_limits(spark):
+    """Every join by shuffle, and partitions of a few kilobytes count as skewed."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.shuffle.partitions": "16",
+        # A hot key is split by the map tasks that it comes from.
+        "spark.sql.files.maxPartitionBytes": "1m",
+        "spark.sql.files.openCostInBytes": "64k",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def hot(spark, rows=200_000):
+    """Four fifths of the rows are one record."""
+    key = F.when(F.col("id") % 5 > 0, 0).otherwise(F.col("id"))
+    record = F.md5(key.cast("string")).alias("record_hash")
+    df = spark.range(0, rows, 1, 16).select(F.lit("2025-01").alias("source_period"), F.lit("f").alias("source_file"), F.col("id").alias("source_row_number"), record, F.lit("PASS").alias("dq_status"), F.sha2(F.col("id").cast("string"), 512).alias("filler"))
+    return stored(df, "hot")
+
+
+def largest_task(df):
+    return df.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+
+
+def test_a_hot_record_is_split_over_tasks(spark, low_skew_limits):
+    rows, n = hot(spark), 200_000
+    flagged = trips.flagged(rows)
+    assert largest_task(flagged) < n // 4
+    assert flagged.filter("is_first_copy").count() == n // 5
+    ranked = dedup.duplicate_rank(rows, [trips.HASH], trips.ORIGIN, block_rows=1 << 12)
+    assert largest_task(ranked) < n // 4
+    assert ranked.agg(F.max("duplicate_rank")).first()[0] == n * 4 // 5 + 1
+
+
+def test_summary_of_a_hot_record_joins_no_rows(spark, low_skew_limits):
+    labels = messy(spark, 8)
+    summary = trips.quality_summary(labels)
+    ranks = brute_ranks(labels.collect())
+    later = {}
+    for r in labels.collect():
+        place = (r.source_period, r.source_file, r.source_row_number)
+        later[r.source_period] = later.get(r.source_period, 0) + (ranks[place] > 1)
+    assert {r.source_period: r.exact_duplicate_count for r in summary.collect()} == later

@@ -1,8 +1,10 @@
 """Exact duplicates: who is first, who is repeated, and the full ranking.
 
 One record may hold a large share of all rows (for example the record with all
-fields empty), so no operator here collects the copies of a record into one
-task:
+fields empty), so no operator here needs the copies of a record in one task. What
+aggregations find is stored before it is joined to the rows: both sides of the join
+are then dealt out by a shuffle of their own, which lets the planner split a hot key.
+Joined to the aggregation itself, the rows would have to follow its partitioning.
 
 * ``keep_first`` filters a row number to 1. Spark limits each group before the
   shuffle, so a map task sends at most one row per record.
@@ -19,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripmart.session import stored
+
 BLOCK_ROWS = 1 << 20
 
 
@@ -60,7 +64,8 @@ def flag_first(
 ) -> DataFrame:
     """Mark the first row of each key. Keys missing in ``firsts`` occur once.
 
-    The ``order`` columns tell all rows apart. The join is left to the planner.
+    The ``order`` columns tell all rows apart. ``firsts`` should be a stored table, so
+    that the copies of a hot record can be split.
     """
     own = F.struct(*order)
     return (
@@ -83,15 +88,16 @@ def duplicate_rank(
     repeated keys are numbered; the ranks then meet the rows. ``order`` tells the
     rows of a key apart. A block is a stretch of ``block_rows`` numbers under equal
     leading order columns, so no window group is larger than that, however often a
-    record repeats. Only the block sizes are then ordered per key. ``df`` is read
-    three times: store it before.
+    record repeats. Only the block sizes are then ordered per key. Repeated keys are
+    stored, and their rows dealt out by key and block, so neither join nor window needs
+    a record's rows together. ``df`` is read three times: store it before.
     """
     *lead, row = order
     block, before, local = "__block", "__before", "__local"
     blocks = [*lead, block]
-    several = repeated_keys(df, key).select(*key)
+    several = stored(repeated_keys(df, key).select(*key), "repeated")
     numbered = df.select(*key, *order).join(several, list(key), "left_semi")
-    numbered = numbered.withColumn(block, F.expr(f"`{row}` div {block_rows}"))
+    numbered = numbered.withColumn(block, F.expr(f"`{row}` div {block_rows}")).repartition(*key, *blocks)
     inside = Window.partitionBy(*key, *blocks).orderBy(F.col(row).asc_nulls_last())
     earlier = (
         Window.partitionBy(*key)

@@ -70,16 +70,15 @@ def build_labels(lake: Lake, options: Options = Options()) -> None:
 def build_silver(lake: Lake, options: Options = Options()) -> None:
     """Accepted trips, zones and the quality summary.
 
-    First copies of repeated records are stored once; both tables come from one
-    join of the labelled rows to them, which the planner broadcasts if it fits.
+    First copies of repeated records are stored once. One join of the passing rows to
+    them gives the accepted trips; the summary needs none.
     """
     labels = lake.table(LABELLED)
-    lake.write_table(FIRSTS, first_copies(labels, [trips.HASH], trips.ORIGIN))
-    flagged = trips.flagged(labels, lake.table(FIRSTS))
+    lake.write_table(FIRSTS, first_copies(trips.candidates(labels), [trips.HASH], trips.ORIGIN))
     lake.write_table(
-        CLEAN, trips.accepted(flagged.filter("is_first_copy")), partition_by="source_period", rebalance=True
+        CLEAN, trips.accepted(labels, lake.table(FIRSTS)), partition_by="source_period", rebalance=True
     )
-    lake.write_table(SUMMARY, trips.quality_summary_of_flagged(flagged))
+    lake.write_table(SUMMARY, trips.quality_summary(labels))
     lake.write_table(ZONE_TABLE, dims.zones_clean(lake.raw(ZONES)))
 
 

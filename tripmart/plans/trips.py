@@ -12,6 +12,7 @@ from tripmart.functions import fields as fx
 from tripmart.functions import keys, measures
 from tripmart.operators.classify import Rule, classify, twin_statuses
 from tripmart.operators.dedup import duplicate_rank, first_copies, flag_first
+from tripmart.session import stored
 
 # Source field per text column.
 FIELDS = {
@@ -187,23 +188,30 @@ def flagged(labels: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
 
     ``firsts`` may bring the stored first copies of the repeated records.
     """
-    firsts = first_copies(labels, [HASH], ORIGIN) if firsts is None else firsts
+    firsts = stored(first_copies(labels, [HASH], ORIGIN), "first-copies") if firsts is None else firsts
     return flag_first(labels, [HASH], ORIGIN, firsts, "is_first_copy")
 
 
+def candidates(labels: DataFrame, rank_within_status: bool = False) -> DataFrame:
+    """Rows that can share a record with an accepted one, in the columns that ``clean`` reads."""
+    statuses = [PASS] if rank_within_status else twin_statuses(rules(), PASS)
+    return labels.filter(F.col("dq_status").isin(*statuses)).select(*CLEAN_COLUMNS, "dq_status")
+
+
 def clean(labels: DataFrame, rank_within_status: bool = False) -> DataFrame:
     """Accepted trips: status PASS and the first copy of the record.
 
-    Only rows that can share a record with an accepted row are compared, so
-    rejected rows are dropped first. Reads ``labels`` twice: store them before.
+    Only candidates are compared, so rejected rows are dropped first. Reads ``labels``
+    twice: store them, or their candidates, before.
     """
-    statuses = [PASS] if rank_within_status else twin_statuses(rules(), PASS)
-    candidates = labels.filter(F.col("dq_status").isin(*statuses))
-    return accepted(flagged(candidates).filter("is_first_copy"))
+    rows = candidates(labels, rank_within_status)
+    return accepted(rows, stored(first_copies(rows, [HASH], ORIGIN), "first-copies"))
 
 
-def accepted(firsts: DataFrame) -> DataFrame:
-    return firsts.filter(F.col("dq_status") == PASS).select(*CLEAN_COLUMNS)
+def accepted(labels: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Rows of status PASS that are the first copy of their record, from stored first copies."""
+    passed = labels.filter(F.col("dq_status") == PASS)
+    return flagged(passed, firsts).filter("is_first_copy").select(*CLEAN_COLUMNS)
 
 
 def _status_count(status: str):
@@ -250,16 +258,23 @@ def _summary(counts: DataFrame) -> DataFrame:
 
 
 def quality_summary(labels: DataFrame) -> DataFrame:
-    """Accepted, rejected and anomalous rows per period; reads ``labels`` twice."""
-    return quality_summary_of_flagged(flagged(labels))
+    """Accepted, rejected and anomalous rows per period; reads ``labels`` twice.
 
-
-def quality_summary_of_flagged(flagged: DataFrame, first: str = "is_first_copy") -> DataFrame:
-    """The summary of rows that know whether they come first."""
+    No row is joined: every record has one first copy, so the first copies of a period
+    are the records whose least origin lies in it, and its other rows are duplicates. An
+    aggregation by record finds them, with a partial step, however hot a record is.
+    """
+    first = F.min(F.struct(*ORIGIN, "dq_status")).alias("first")
+    firsts = labels.groupBy(HASH).agg(first).groupBy(F.col("first.source_period").alias("source_period"))
+    firsts = firsts.agg(
+        F.count(F.lit(1)).alias("firsts"), F.count_if(F.col("first.dq_status") == PASS).alias("usable")
+    )
+    counts = labels.groupBy("source_period").agg(*_row_counts()).join(firsts, "source_period", "left")
     return _summary(
-        flagged.groupBy("source_period").agg(
-            *_row_counts(),
-            F.count_if((F.col("dq_status") == PASS) & F.col(first)).alias("usable_row_count"),
-            F.count_if(~F.col(first)).alias("exact_duplicate_count"),
+        counts.withColumns(
+            {
+                "usable_row_count": F.coalesce("usable", F.lit(0)),
+                "exact_duplicate_count": F.col("raw_row_count") - F.coalesce("firsts", F.lit(0)),
+            }
         )
     )

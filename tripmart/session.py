@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # Trip times carry no zone. UTC keeps every text form of them stable.
@@ -42,6 +42,21 @@ def build_session(app: str = "tripmart", extra: dict[str, str] | None = None) ->
     return builder.getOrCreate()
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Rows written to the shared folder once and read from there."""
+    folder = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def remove_stored(spark: SparkSession, *folders: str) -> None:
+    """Delete folders that ``shared_dir`` named, once nothing reads them any more."""
+    context = spark.sparkContext
+    for folder in folders:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder path under the cluster's shared folder.
 

@@ -1,21 +1,25 @@
 """The table folder: staged writes made visible by one log entry.
 
 Every write goes to a new folder. A version becomes visible when its row lands
-in a log, which is one small file. Until then readers see the previous version,
-so a failed or lost run leaves nothing to undo. One writer at a time is assumed.
+in a log, as a small file with the next number. Until then readers see the previous
+version, so a failed or lost run leaves nothing to undo. The file is created only if
+there is none of its number, so of two writers that read the same log one is refused.
 
     bronze/<dataset>/source_period=<P>/load_id=<L>/   raw records of one load
-    bronze/ingestion_audit/                           one row per load
+    bronze/ingestion_audit/<number>.json              one row per load
     tables/<layer>.<name>/version=<V>/                a rebuilt table
-    tables/_versions/                                 one row per rebuild
+    tables/_versions/<number>.json                    one row per rebuild
 """
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -48,6 +52,14 @@ AUDIT_LOG = (
 VERSION_LOG = "name string, version string, row_count long, built_at timestamp, entry long"
 
 
+# How log rows spell moments.
+_MOMENT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
+class CommitConflict(RuntimeError):
+    """Another writer committed first; nothing of this write is visible."""
+
+
 @dataclass(frozen=True)
 class Load:
     """One committed load."""
@@ -62,28 +74,53 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        for path, schema in ((self._audit_path, AUDIT_LOG), (self._versions_path, VERSION_LOG)):
-            empty = spark.createDataFrame([], StructType.fromDDL(schema))
-            empty.coalesce(1).write.mode("ignore").parquet(path)
+        for path in (self._audit_path, self._versions_path):
+            system, folder = self._place(path)
+            system.mkdirs(folder)
 
     # Logs
 
+    def _place(self, path: str):
+        """The file system of a path, and the path as it knows it."""
+        context = self.spark.sparkContext
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(context._jsc.hadoopConfiguration()), place
+
     def _log(self, path: str, schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(path)
+        return self.spark.read.schema(schema).option("timestampFormat", _MOMENT).json(path)
+
+    def _next(self, path: str) -> int:
+        system, folder = self._place(path)
+        names = [status.getPath().getName() for status in system.listStatus(folder)]
+        return max((int(name.partition(".")[0]) for name in names if re.fullmatch(r"\d+\.json", name)), default=0) + 1
 
     def _append(self, path: str, schema: str, row: dict) -> None:
-        """Commit point: one row in one new file."""
-        entry = self._log(path, schema).agg(F.max("entry")).first()[0] or 0
-        names = StructType.fromDDL(schema).fieldNames()
-        record = tuple({**row, "entry": entry + 1}.get(name) for name in names)
-        when = "loaded_at" if "loaded_at" in names else "built_at"
-        (
-            self.spark.createDataFrame([record], schema)
-            .withColumn(when, F.current_timestamp())
-            .coalesce(1)
-            .write.mode("append")
-            .parquet(path)
-        )
+        """Commit point: one row in one new file, whose number nobody else has taken.
+
+        The row is written aside and renamed, which fails if the name is taken. So
+        no reader meets half a row.
+        """
+        entry = self._next(path)
+        when = "loaded_at" if "loaded_at" in StructType.fromDDL(schema).fieldNames() else "built_at"
+        moment = self.spark.range(1).select(F.date_format(F.current_timestamp(), _MOMENT)).first()[0]
+        record = json.dumps({**row, "entry": entry, when: moment})
+        system, aside = self._place(f"{path}/.{entry}-{uuid.uuid4().hex}")
+        out = system.create(aside, False)
+        try:
+            out.write(bytearray(record.encode()))
+        finally:
+            out.close()
+        context = self.spark.sparkContext
+        hadoop = context._jvm.org.apache.hadoop.fs
+        files = hadoop.FileContext.getFileContext(system.getUri(), context._jsc.hadoopConfiguration())
+        no_options = context._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+        try:
+            files.rename(aside, hadoop.Path(f"{path}/{entry:012}.json"), no_options)
+        except Py4JJavaError as error:
+            system.delete(aside, False)
+            if "AlreadyExists" in error.java_exception.getClass().getName():
+                raise CommitConflict(f"another writer has committed entry {entry} of {path}") from error
+            raise
 
     @property
     def _audit_path(self) -> str:
