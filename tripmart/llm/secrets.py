@@ -5,12 +5,14 @@ access identifier, a long hexadecimal run. Weak ones do not: a user or account
 name, a mixed token, an endpoint. A weak find is reported only if a complementary
 part lies within ``scope`` characters of it in the same text: names and endpoints
 need a secret near them, tokens need a name, an access identifier or an endpoint.
+The parts of a credential lie apart: a weak find inside another find is part of that
+one and does not count, and finds that overlap are not complementary.
 
 A pattern's places come from what lies between its matches: the text is split by
 the pattern, and the lengths of pieces and matches add up in a window over the
-text's own finds. The link is an interval join on sorted starts: of the
-parts that begin no later the greatest end, and of the others the next start, tell
-whether the gap between two finds is within the scope.
+text's own finds. The link is an interval join on sorted ends: at a find's start the
+last end of a complementary part, and at its end the next start of one, tell whether
+the gap between the two is within the scope.
 Only finds are shuffled, never texts; a text is one window group, so a frequent
 source, or copies of a text, are many groups.
 """
@@ -101,19 +103,27 @@ def finds(documents: DataFrame, kinds: list[Kind] = KINDS, scope: int = SCOPE) -
     placed = rows.withColumn("end", end).withColumn("start", F.col("end") - F.col("length"))
     weak = F.col("kind").isin([i for i, k in enumerate(kinds) if k.weak])
     placed = placed.withColumn("weak", weak).where(F.col("kind").isNull() | F.col("good") | (F.col("place") == 0))
-
-    def near(part: tuple[str, ...]) -> Column:
-        """Whether the gap to another find of such a part is within the scope."""
-        other = F.col("kind").isin([i for i, k in enumerate(kinds) if k.part in part]) & F.col("good")
-        in_text = Window.partitionBy("_row")
+    # Of finds that begin no later, the longer first, one that ends no earlier holds the find.
+    in_text = Window.partitionBy("_row")
+    holders = in_text.orderBy("start", F.desc("end"), "kind").rowsBetween(Window.unboundedPreceding, -1)
+    held = F.coalesce(F.max(F.when(F.col("good"), F.col("end"))).over(holders) >= F.col("end"), F.lit(False))
+    placed = placed.withColumn("good", F.col("good") & ~(F.col("weak") & held))
+    sides = F.array(F.struct(F.lit(True).alias("opens"), F.col("start").alias("at")), F.struct(F.lit(False).alias("opens"), F.col("end").alias("at")))
+    events = placed.withColumn("side", F.explode(sides)).select("*", "side.*").drop("side")
+
+    def near(*parts: str) -> Column:
+        """Whether such a part ends shortly before a start, or starts shortly behind an end."""
+        other = F.col("kind").isin([i for i, k in enumerate(kinds) if k.part in parts]) & F.col("good")
         # Both windows run from their start to the row, which takes one pass each.
-        reached = F.max(F.when(other, F.col("end"))).over(in_text.orderBy("start").rangeBetween(Window.unboundedPreceding, 0))
-        following = F.min(F.when(other, F.col("start"))).over(in_text.orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, 0))
-        return F.coalesce(F.col("start") - reached <= scope, F.lit(False)) | F.coalesce(following - F.col("end") <= scope, F.lit(False))
+        before = F.max(F.when(other & ~F.col("opens"), F.col("at"))).over(in_text.orderBy("at").rangeBetween(Window.unboundedPreceding, 0))
+        behind = F.min(F.when(other & F.col("opens"), F.col("at"))).over(in_text.orderBy(F.desc("at")).rangeBetween(Window.unboundedPreceding, 0))
+        return F.when(F.col("opens"), F.col("at") - before).otherwise(behind - F.col("at")) <= scope
 
     secret = F.col("kind").isin([i for i, k in enumerate(kinds) if k.part == "secret"])
-    linked = F.when(secret, near(("name", "endpoint"))).otherwise(near(("secret",)))
-    return placed.withColumn("linked", linked).select("_row", "doc_id", "kind", "start", "end", "good", "weak", "linked")
+    linked = F.coalesce(F.when(secret, near("name", "endpoint")).otherwise(near("secret")), F.lit(False))
+    found = ["_row", "doc_id", "kind", "start", "end", "good", "weak"]
+    # Rows lie by text already, so this shuffles nothing.
+    return events.withColumn("linked", linked).groupBy(*found).agg(F.max("linked").alias("linked"))
 
 
 def _joined(rows: Column, kinds: list[Kind]) -> Column:
@@ -197,9 +207,13 @@ def _sql() -> str:
     return f"""
 with docs as (select row_number() over () as rid, doc_id, coalesce(text, '') as t from documents),
 found as ({union}
+), parts as (
+  select * from found f where not (weak and exists (select 1 from found o where o.rid = f.rid and o.start <= f.start
+    and o.stop >= f.stop and (o.start < f.start or o.stop > f.stop or o.kind < f.kind)))
 ), linked as (
-  select f.*, exists (select 1 from found o where o.rid = f.rid and abs(o.start - f.start) <= {SCOPE}
-    and case when f.part = 'secret' then o.part <> 'secret' else o.part = 'secret' end) as near from found f
+  select f.*, exists (select 1 from parts o where o.rid = f.rid
+    and (o.start - f.stop between 0 and {SCOPE} or f.start - o.stop between 0 and {SCOPE})
+    and case when f.part = 'secret' then o.part <> 'secret' else o.part = 'secret' end) as near from parts f
 ), listed as (
   select rid, count(*) filter (kind = 0) as n_assign, count(*) filter (kind = 1) as n_access, count(*) filter (kind = 2) as n_hex,
     string_agg(name || ':' || start::bigint || ':' || stop::bigint, ',' order by start, kind) filter (not weak) as base,
