@@ -5,10 +5,12 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm import cases
 from tripmart.llm import components, jaccard, language, packing, ranking, repetition, spotsigs, urls
+from tripmart.llm.mixing import stored
 
 SF = "/root/testdata/sf0.01"
 
@@ -255,8 +257,41 @@ def test_large_groups_lose_no_link(spark):
 
 def test_prefix_reaches_the_recall():
     forest = jaccard.Forest()
-    length = forest.prefix()
-    assert 1 - (1 - 0.8**length) ** forest.trees >= forest.recall > 1 - (1 - 0.8 ** (length + 1)) ** forest.trees
+    length = forest.prefix(np.array([]))
+    assert forest.chance(0.8, length) >= forest.recall > forest.chance(0.8, length + 1)
+    # Pairs of one band do not make up for those of another.
+    assert forest.prefix(np.array([0.99] * 1000)) == forest.depth
+    assert forest.prefix(np.array([0.99] * 1000 + [0.81])) == forest.prefix(np.array([0.81]), 2) < forest.depth
+
+
+def changed(draw, words, share):
+    return " ".join(w if draw.random() > share else f"n{draw.random()}" for w in words)
+
+
+def test_data_sets_end_at_different_depths(spark):
+    """Nearly equal texts need long prefixes only, texts at the threshold short ones; both are found."""
+    draw = random.Random(12)
+    forest, lengths = jaccard.Forest(), []
+    for share in (0.001, 0.02):
+        bases = [[f"w{draw.randrange(10**6)}" for _ in range(300)] for _ in range(150)]
+        rows = [(i, t) for i, t in enumerate(t for b in bases for t in (" ".join(b), changed(draw, b, share)))]
+        frame = spark.createDataFrame(rows, "doc_id long, text string")
+        keyed = frame.select(jaccard.text_key(F.col("text")).alias("key"), "text")
+        found = stored(jaccard._labelled(keyed, forest), "labels")
+        lengths.append(jaccard.prefix_length(keyed, found.dropDuplicates(["key"]), forest))
+        assert Counter(map(tuple, jaccard.join(frame, forest).collect())) == brute_classes(rows)[0]
+    assert lengths[0] > lengths[1]
+
+
+def test_neighbours_are_those_of_the_sorted_tries(spark):
+    block = next(jaccard.blocks(pa.array([cases.sentence(random.Random(i % 30), 40) + f" {i % 45}" for i in range(90)])))
+    forest = jaccard.Forest(trees=2, depth=6)
+    found = jaccard.labels(block, jaccard.Hasher(), forest).view(np.int64)
+    levels = [[(h >> s) & 0xFFFF for half in (0, 1) for h in [int(row[half]) & (2**64 - 1)] for s in (48, 32, 16, 0)] for row in found]
+    order = sorted(range(90), key=lambda i: tuple(map(int, found[i][:2])))
+    high, low = (np.array([found[i][half] for i in order]) for half in (0, 1))
+    expected = [0] + [next((k for k in range(8) if levels[a][k] != levels[b][k]), 8) for a, b in zip(order, order[1:])]
+    assert jaccard.common_levels(high, low).tolist() == expected and max(expected) == 8 and min(expected[1:]) == 0
 
 
 def test_components_of_paths_and_stars(spark):
