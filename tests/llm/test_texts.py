@@ -320,6 +320,20 @@ def test_fingerprints_of_awkward_documents(spark):
     assert ids[0] == 0 and spotsigs.compare(cases.nothing(spark)).count() == 0
 
 
+def test_few_anchors_do_not_stand_for_a_long_text(spark):
+    draw = random.Random(3)
+    long = cases.sentence(draw, 200, "bcdfgklm")
+    rows = [(0, f"the {long}"), (1, long), (2, "the " + cases.sentence(draw, 5, "bcdfgklm")), (3, " ".join(f"the {w}" for w in long.split())), (4, "a of the")]
+    found = {r["doc_id"]: r for r in spotsigs.compare(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sizes = {i: len(r["fingerprint"]) // 8 for i, r in found.items()}
+    assert sizes[0] > 150 and sizes[1] > 150 and sizes[2] == 1 and sizes[3] > 150 and sizes[4] == 1
+    # The true index, however unlike the sizes are.
+    assert found[0]["near_next"] > 0.98 and found[0]["alike_next"] and not found[1]["alike_next"]
+    sets = spark.sql("select transform(sequence(1, 9), x -> string(x)) a, transform(sequence(1, 100), x -> string(x)) b")
+    r = sets.select(spotsigs.likeness(F.col("a"), F.col("b")).alias("n"), spotsigs.alike(F.col("a"), F.col("b"), spotsigs.likeness(F.col("a"), F.col("b")), 0.05).alias("x")).first()
+    assert r["n"] == 0.09 and r["x"]
+
+
 # URLs
 
 

@@ -2,13 +2,18 @@
 
 A spot is where a common word, an anchor, is followed by content words; its
 signature is the hash of the chain of the next content words. The fingerprint is
-the sorted set of a text's signatures. Sets are partitioned by their length: sets
-that are more than one partition apart cannot reach the least likeness that counts,
-and are not compared; others are compared by their Jaccard index.
+the sorted set of a text's signatures. Likeness is the Jaccard index of two sets.
+Whether sets are alike enough is decided by length first: they are partitioned by their
+length, and sets that are more than one partition apart cannot reach the threshold, so
+they are not compared.
+
+Where anchors are rare for the length of a text, each word counts as following one.
+So the signatures of every text grow with its content, whatever its language, and a
+few stray anchors do not stand for a long text.
 
 The next document in id order is found without sorting texts: ids are ranked over
-many tasks, and only the start of a text that the document before needs, and its
-signatures, are shuffled to that document.
+many tasks. Texts are shuffled once by their id; what the document before needs of a
+text, its start and its signatures, is shuffled to that document.
 """
 
 from __future__ import annotations
@@ -24,8 +29,10 @@ de la le les et un une que qui en du des pour dans sur au pas est
 der die das und zu den von mit ist ein eine nicht auf
 el y los las del se por con para una su al es lo""".split()
 CHAIN = 2
-#: Likeness below which sets need no comparison; it counts as 0.
-LEAST = 0.1
+#: Content words for each anchor beyond which anchors are rare.
+RARE = 20
+#: Likeness of near-duplicates.
+ALIKE = 0.8
 #: A quarter of a text is replaced in its edited form.
 EDITED = 4
 
@@ -39,8 +46,9 @@ def signatures(text: Column) -> Column:
     """The sorted set of signatures of a text, as hexadecimal strings.
 
     Words are lower-cased runs of letters and digits. A chain at a text's end may
-    be shorter. In a text without anchors each word counts as following one; a
-    text without words has the hash of itself as its only signature.
+    be shorter. In a text with more than ``RARE`` content words for each anchor every
+    word counts as following one; a text without content words has the hash of itself
+    as its only signature.
     """
     plain = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     # An anchor and its space become a mark on the word that follows; marks at the
@@ -48,8 +56,14 @@ def signatures(text: Column) -> Column:
     marked = F.regexp_replace(plain, f"(?<= )(?:{'|'.join(ANCHORS)}) ", "^")
 
     def of_marked(line: Column) -> Column:
-        everywhere = ~line.contains("^")
-        return _let(F.filter(F.split(F.rtrim(line, F.lit(" ^")), " "), lambda w: w != ""), lambda words: of_words(words, everywhere))
+        anchors = F.length(line) - F.length(F.replace(line, F.lit("^"), F.lit("")))
+        content = F.filter(F.split(F.rtrim(line, F.lit(" ^")), " "), lambda w: w != "")
+        # Counted once for a text, not for each word.
+        return _let(F.struct(content.alias("words"), anchors.alias("anchors")), with_rule)
+
+    def with_rule(found: Column) -> Column:
+        rare = found["anchors"] * RARE < F.size(found["words"])
+        return _let(F.struct(found["words"].alias("words"), rare.alias("rare")), lambda f: of_words(f["words"], f["rare"]))
 
     def of_words(words: Column, everywhere: Column) -> Column:
         def chain(word: Column, i: Column) -> Column:
@@ -66,16 +80,20 @@ def fingerprint(found: Column) -> Column:
     return F.array_join(found, "")
 
 
-def partition(found: Column) -> Column:
-    """Number of the set's length partition; each is 1 / LEAST times the last."""
-    return F.floor(F.log(F.size(found).cast("double")) / F.log(F.lit(1 / LEAST)))
+def partition(found: Column, least: float = ALIKE) -> Column:
+    """Number of the set's length partition; each is 1 / ``least`` times the last."""
+    return F.floor(F.log(F.size(found).cast("double")) / F.log(F.lit(1 / least)))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Jaccard index of two sets of signatures; 0 if their lengths rule out LEAST."""
+    """Jaccard index of two sets of signatures."""
     common = F.size(F.array_intersect(a, b))
-    index = common / (F.size(a) + F.size(b) - common)
-    return F.when(F.abs(partition(a) - partition(b)) > 1, F.lit(0.0)).otherwise(index)
+    return common / (F.size(a) + F.size(b) - common)
+
+
+def alike(a: Column, b: Column, index: Column, least: float = ALIKE) -> Column:
+    """Whether two sets reach a likeness; ``index`` is only computed where their lengths allow it."""
+    return F.when(F.abs(partition(a, least) - partition(b, least)) > 1, F.lit(False)).otherwise(index >= least)
 
 
 def edited(text: Column, following: Column) -> Column:
@@ -85,7 +103,7 @@ def edited(text: Column, following: Column) -> Column:
 
 
 def compare(documents: DataFrame) -> DataFrame:
-    """A row per document with its fingerprint, its edited text's, and likenesses.
+    """A row per document with its fingerprint, its edited text's, likenesses and near-duplicates.
 
     Null text counts as empty. The next document of a row is that of the next
     greater id, null ids last, and the first id's after the last; of documents that
@@ -118,14 +136,17 @@ def compare(documents: DataFrame) -> DataFrame:
         signatures(F.col("changed")).alias("_edited"),
         F.col("next.next_found").alias("_next"),
     )
-    return found.select(
+    near = found.withColumns({"near_edited": likeness(F.col("_own"), F.col("_edited")), "near_next": likeness(F.col("_own"), F.col("_next"))})
+    return near.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
         fingerprint(F.col("_own")).alias("fingerprint"),
         fingerprint(F.col("_edited")).alias("edited_fingerprint"),
-        likeness(F.col("_own"), F.col("_edited")).alias("near_edited"),
-        likeness(F.col("_own"), F.col("_next")).alias("near_next"),
+        "near_edited",
+        "near_next",
+        alike(F.col("_own"), F.col("_edited"), F.col("near_edited")).alias("alike_edited"),
+        alike(F.col("_own"), F.col("_next"), F.col("near_next")).alias("alike_next"),
     )
 
 
@@ -146,7 +167,7 @@ def _found(table: str, text: str) -> str:
         when content[i].spot or none then substr(md5(content[i].word || case when i < len(content) then ' ' || content[i + 1].word else '' end), 1, 8) end),
         lambda c: c is not null) as chains
     from (
-      select rid, t, len(list_filter(words, lambda w: w in ({_ANCHOR_LIST}))) = 0 as none,
+      select rid, t, {RARE} * len(list_filter(words, lambda w: w in ({_ANCHOR_LIST}))) < len(list_filter(words, lambda w: w not in ({_ANCHOR_LIST}))) as none,
         list_filter(list_transform(range(1, len(words) + 1), lambda i: {{'word': words[i], 'spot': i > 1 and words[greatest(i - 1, 1)] in ({_ANCHOR_LIST})}}),
           lambda c: c.word not in ({_ANCHOR_LIST})) as content
       from (select rid, {text} as t, regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+') as words from {table})
@@ -163,15 +184,17 @@ pairs as (
   select rid, doc_id, text, substr(text, 1, length(text) - cut) || substr(following, 1, cut) as altered from pairs
 ), own as ({_found("docs", "text")}
 ), other as ({_found("changed", "altered")}
-), sets as (
+), jaccard as (
   select c.rid, doc_id, text, altered, own.found as a, other.found as b,
     coalesce(lead(own.found) over (order by c.rid), first_value(own.found) over (order by c.rid)) as n
   from changed c join own on own.rid = c.rid join other on other.rid = c.rid
 )
+, sets as (
+  select *, len(list_intersect(a, b)) / (len(a) + len(b) - len(list_intersect(a, b)))::double as near_edited,
+    len(list_intersect(a, n)) / (len(a) + len(n) - len(list_intersect(a, n)))::double as near_next
+  from jaccard
+)
 select doc_id, length(text) as n_chars, sha256(altered) as edited_sha256, array_to_string(a, '') as fingerprint, array_to_string(b, '') as edited_fingerprint,
-  case when abs(floor(ln(len(a)) / ln(10)) - floor(ln(len(b)) / ln(10))) > 1 then 0.0
-       else len(list_intersect(a, b)) / (len(a) + len(b) - len(list_intersect(a, b)))::double end as near_edited,
-  case when abs(floor(ln(len(a)) / ln(10)) - floor(ln(len(n)) / ln(10))) > 1 then 0.0
-       else len(list_intersect(a, n)) / (len(a) + len(n) - len(list_intersect(a, n)))::double end as near_next
+  near_edited, near_next, near_edited >= {ALIKE} as alike_edited, near_next >= {ALIKE} as alike_next
 from sets
 """
