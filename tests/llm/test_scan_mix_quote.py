@@ -219,22 +219,75 @@ MESSAGES = [
 ]
 
 
-def test_quotes_equal_their_sql(spark):
-    rows = spark.createDataFrame([(*m, "x") for m in MESSAGES], "conv_id long, turn long, role string, text string, root string")
-    out = quotes.conversations(rows)
+def by_sql(rows):
+    """The rows of the query's SQL over a small table."""
     conversations = rows.toPandas().astype({"conv_id": "Int64", "turn": "Int64"})  # noqa: F841  read by its name
     connection = duckdb.connect()
     connection.register("conversations", conversations)
     found = connection.execute(quotes.SQL)
     names = [d[0] for d in found.description]
-    assert Counter(tuple(r[n] for n in names) for r in out.collect()) == Counter(found.fetchall())
-    by_turn = {(r["conv_id"], r["turn"]): r for r in out.collect()}
+    return [dict(zip(names, r, strict=True)) for r in found.fetchall()]
+
+
+def same_rows(rows):
+    """The operator's rows, held against its SQL."""
+    out = [r.asDict() for r in quotes.conversations(rows).collect()]
+    assert Counter(tuple(sorted(r.items(), key=str)) for r in out) == Counter(tuple(sorted(r.items(), key=str)) for r in by_sql(rows))
+    return out
+
+
+def test_quotes_equal_their_sql(spark):
+    rows = spark.createDataFrame([(*m, "x") for m in MESSAGES], "conv_id long, turn long, role string, text string, root string")
+    by_turn = {(r["conv_id"], r["turn"]): r for r in same_rows(rows)}
     assert by_turn[1, 4]["reply_to"] == 2 and by_turn[1, 4]["root"] == 0 and by_turn[1, 4]["depth"] == 2
-    assert by_turn[4, 1]["reply_to"] == 0 and by_turn[3, 0]["reply_to"] is None
+    assert by_turn[4, 1]["reply_to"] == 0 and by_turn[4, 1]["quoted"] == 5000 and by_turn[3, 0]["reply_to"] is None
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert quotes.conversations(empty).count() == 0
 
 
+def test_quotes_that_are_wrapped_anew_or_in_part(spark):
+    said = "The quick brown fox jumps over\nthe lazy dog and runs\naway into the deep wood"
+    messages = [
+        (1, 0, "u", said),
+        (1, 1, "a", "> The quick brown\n> fox jumps over the lazy dog\n> and runs away into the deep wood\nwrapped anew"),
+        (1, 2, "u", "> brown fox jumps over the\npart of a line"),
+        (1, 3, "a", "> dog and runs away into\nacross two lines"),
+        (1, 4, "u", "> fox jumps over the\nfour words of a line are too few"),
+        (1, 5, "a", "> He wrote: quick brown fox jumps over the lazy dog, nothing more\nwith words around"),
+        (1, 6, "u", "> nobody ever said these words here\n>> the lazy dog and runs away\nnested part"),
+        (1, 7, "a", "> quick brown fox jumps over\nbetween\n> over the lazy dog and\ntwo passages"),
+        (1, 8, "u", "> wrapped anew part of a line\nwords of two messages"),
+        (2, 0, "u", "Another talk"),
+        (2, 1, "a", "> the quick brown fox jumps over\nsaid in another conversation"),
+    ]
+    rows = spark.createDataFrame(messages, "conv_id long, turn long, role string, text string")
+    found = {(r["conv_id"], r["turn"]): (r["reply_to"], r["quoted"]) for r in same_rows(rows)}
+    assert found[1, 1] == (0, 16) and found[1, 2] == (0, 5) and found[1, 3] == (0, 5)
+    assert found[1, 4] == (None, 0) and found[1, 5] == (0, 8) and found[1, 6] == (0, 6) and found[1, 7] == (0, 10)
+    assert found[1, 8] == (None, 0) and found[2, 1] == (None, 0)
+
+
+def test_random_quotes_equal_their_sql(spark):
+    draw = random.Random(11)
+    messages = []
+    for conversation in range(12):
+        bodies = []
+        for turn in range(10):
+            lines = []
+            for _ in range(draw.randrange(1, 6)):
+                if bodies and draw.random() < 0.5:
+                    words = draw.choice(bodies).split()
+                    at = draw.randrange(len(words))
+                    lines.append(draw.choice(["> ", ">> ", " >>> ", "> "]) + " ".join(words[at : at + draw.randrange(1, 12)]))
+                else:
+                    lines.append(" ".join(draw.choice("abc") for _ in range(draw.randrange(1, 9))))
+            own = " ".join(line for line in lines if ">" not in line)
+            bodies += [own] if own else []
+            messages += [(conversation, turn, "u", "\n".join(lines))] * draw.choice([1, 1, 1, 2])
+    rows = spark.createDataFrame(messages, "conv_id long, turn long, role string, text string")
+    assert sum(r["reply_to"] is not None for r in same_rows(rows)) > 40
+
+
 def test_deeper_quotes_link_where_no_outer_one_does(spark):
     messages = [
         (1, 0, "u", "First words\nmore of them"),
@@ -246,5 +299,5 @@ def test_deeper_quotes_link_where_no_outer_one_does(spark):
         (1, 6, "u", ">> nobody\nno link"),
     ]
     rows = spark.createDataFrame(messages, "conv_id long, turn long, role string, text string")
-    found = {r["turn"]: (r["reply_to"], r["quoted"], r["root"], r["depth"]) for r in quotes.conversations(rows).collect()}
+    found = {r["turn"]: (r["reply_to"], r["quoted"], r["root"], r["depth"]) for r in same_rows(rows)}
     assert found == {0: (None, 0, 0, 0), 1: (None, 0, 1, 0), 2: (0, 5, 0, 1), 3: (1, 2, 1, 1), 4: (1, 2, 1, 1), 5: (4, 2, 1, 2), 6: (None, 0, 6, 0)}
