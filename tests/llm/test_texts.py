@@ -114,9 +114,79 @@ def test_only_letters_of_any_plane_make_a_language():
     assert language.predictions(model, ["der hund", "der\U0001f600hund"])[1].std() == 0
 
 
+def test_one_long_text_does_not_fill_the_sample():
+    draw = random.Random(8)
+    good = {"a": [cases.sentence(draw, 60, "abcde") for _ in range(59)], "b": [cases.sentence(draw, 60, "cdefg") for _ in range(60)]}
+    good["a"].insert(0, cases.sentence(draw, 30_000, "xyz"))
+    model = language.learn(good)
+    names, _ = language.predictions(model, [cases.sentence(draw, 20, "abcde") for _ in range(200)])
+    assert names.count("a") > 190
+    assert language.shares([5, 100, 7], 32) == [5, 20, 7] and language.shares([3, 3], 10) == [3, 3] and language.shares([9, 9, 9], 2) == [1, 1, 0]
+    parts = language._shared(["x" * 40, "0123456789" * 10], 80)
+    assert parts == ["x" * 40, "\n".join(("0123456789" * 10)[a : a + 10] for a in (0, 30, 60, 90))]
+
+
+def test_every_language_keeps_a_floor_of_symbols():
+    draw = random.Random(9)
+    signs = [chr(0x4E00 + i) for i in range(300)]
+    texts = {f"l{i:03}": [" ".join(cases.sentence(draw, 2, "abcdefgh") + signs[i] for _ in range(300))] for i in range(300)}
+    model = language.learn(texts)
+    sizes = np.diff([*model.roots, len(model.table)])
+    assert len(model.languages) == 300 and sizes.min() > language.FLOOR
+
+
 # Quality ranking
 
 
+def plain_measures(text):
+    """The measures by their definitions, with no numpy."""
+    text = text or ""
+    data, words, lines = text.encode(), cases.words(text), [x for x in text.split("\n") if cases.words(x)]
+    n_bytes, n_words, n_lines, distinct = max(1, len(data)), max(1, len(words)), max(1, len(lines)), max(1, len(set(words)))
+    inside = sum(map(len, words))
+    symbols, others = "#*$%&|<>", "!?()[]{}=+-_/\\@^~`'\""
+    of = lambda signs: sum(text.count(c) for c in signs) / n_bytes
+    return [
+        np.log1p(len(words)), np.log1p(len(text)), inside / n_words, of("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), of("0123456789"), of(symbols), of(".,;:"), of(others),
+        (len(text) - inside) / n_bytes, sum(b >= 128 for b in data) / n_bytes, np.log(n_words / distinct), np.log(distinct) / np.log(n_words + 1),
+        (len(lines) - len(set(lines))) / n_lines, np.log(n_words / n_lines), sum(w[-1] in symbols + others for w in words) / n_words,
+        sum("A" <= w[0] <= "Z" for w in words) / n_words,
+    ]
+
+
+def test_measures_equal_their_definitions(spark):
+    texts = [r["text"] for r in cases.documents(spark).collect()] + ODD + ["Ab c!\nAb c!\n\n  \nx#\t$ 1,2.\n"]
+    texts += [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").limit(100).collect()]
+    found = ranking.measures(pa.array(texts, pa.string()))
+    assert found.shape == (len(texts), len(ranking.MEASURES))
+    for text, row in zip(texts, found, strict=True):
+        assert row.tolist() == pytest.approx(plain_measures(text), abs=1e-12), text
+
+
+def test_weights_solve_the_pairwise_loss():
+    draw = np.random.default_rng(3)
+    good, bad = draw.normal(0.4, 1, (80, len(ranking.MEASURES))), draw.normal(0, 1.2, (50, len(ranking.MEASURES)))
+    model = ranking.learn(good, bad, 0.25, pairs=2000)
+    again = np.random.default_rng(ranking.SEED)
+    spread = lambda x: ranking._spread_out(x, model.steps, model.centre, model.spread)
+    ours, theirs = spread(good), spread(bad)
+    difference = ours[again.integers(len(good), size=2000)] - theirs[again.integers(len(bad), size=2000)]
+    loss = lambda w: np.mean(np.logaddexp(0, -difference @ w)) + ranking.RIDGE / 2 * w @ w
+    least = loss(model.weights)
+    for k in range(len(model.weights)):
+        step = np.zeros(len(model.weights))
+        step[k] = 1e-4
+        assert loss(model.weights + step) > least and loss(model.weights - step) > least
+    assert all(loss(model.weights + draw.normal(0, 0.1, len(model.weights))) > least for _ in range(50))
+    # The threshold is the quantile that the share of bad labels names.
+    below = 0.75 * np.mean(ours @ model.weights < model.threshold) + 0.25 * np.mean(theirs @ model.weights < model.threshold)
+    assert abs(below - 0.25) <= 0.02
+    at = ranking.scores(np.concatenate([good, bad]), model)
+    raw = np.concatenate([ours, theirs]) @ model.weights
+    assert ((at >= ranking.CUT) == (raw >= model.threshold)).all()
+
+
+
 def test_ranking_on_held_out_labels(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     found = ranking.query(spark, SF).join(labels, "doc_id").where("held_out").collect()
@@ -177,6 +247,51 @@ def test_every_id_is_packed_once(limits):
         assert [p.start for p in joined] == np.cumsum([0, *(len(p.ids) for p in joined[:-1])]).tolist()
 
 
+def test_the_limit_on_loss_closes_sequences():
+    draw = random.Random(6)
+    limits, sequences = packing.Limits(256, 50, 40), []
+    packer = packing.Packer(limits, 64, sequences.append)
+    documents = {}
+    for i in range(300):
+        prompt, answer = draw.choice([0, 1, 20, 60, 700]), draw.choice([1, 10, 25, 90])
+        documents[i] = (prompt, np.arange(prompt + answer, dtype="<u4"))
+        packer.add(packing.Piece(i, prompt + answer, 0, documents[i][1], max(1, prompt)))
+    packer.finish()
+    packed = Counter()
+    for sequence in sequences:
+        size = sum(len(p.ids) for p in sequence)
+        loss = sum(sum(at >= max(1, documents[p.key][0]) for at in range(p.start, p.start + len(p.ids))) for p in sequence)
+        assert loss == sum(p.loss for p in sequence) <= limits.loss and size <= limits.tokens and len(sequence) <= limits.segments
+        assert size == limits.tokens or size & (size - 1) == 0
+        packed.update((p.key, p.start + k) for p in sequence for k in range(len(p.ids)))
+    assert packed == Counter((i, k) for i, (_, ids) in documents.items() for k in range(len(ids)))
+    # Without that limit sequences go on to bear more loss, and fewer are needed.
+    free = []
+    packer = packing.Packer(limits._replace(loss=limits.tokens), 64, free.append)
+    for i, (prompt, ids) in documents.items():
+        packer.add(packing.Piece(i, len(ids), 0, ids, max(1, prompt)))
+    packer.finish()
+    assert sum(sum(p.loss for p in x) > limits.loss for x in free) > 50 and len(free) < len(sequences)
+
+
+def test_prompts_bear_no_loss(spark):
+    pairs = [("What is it?", "A dog."), (None, "no prompt"), ("no answer", None), ("", ""), (None, None), ("long " * 3000, "short"), ("x", "y " * 5000)]
+    rows = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(pairs)], "doc_id long, asked string, text string")
+    out = packing.pack(rows, packing.tokenizer_path(), prompt="asked", limits=packing.Limits(512, 8, 100)).collect()
+    whole = Tokenizer.from_file(packing.tokenizer_path())
+    for i, (prompt, text) in enumerate(pairs):
+        first, rest = (whole.encode(x or "", add_special_tokens=False).ids for x in (prompt, text))
+        ids = np.array([*first, *rest, 1], "<u4")
+        mine = sorted((r for r in out if r["doc_id"] == i), key=lambda r: r["start"])
+        assert sum(r["length"] for r in mine) == len(ids) and {r["doc_tokens"] for r in mine} == {len(ids)}
+        assert all(zlib.crc32(ids[r["start"] : r["start"] + r["length"]].tobytes()) == r["ids_crc32"] for r in mine)
+        assert sum(r["loss_tokens"] for r in mine) == len(ids) - max(1, len(first))
+    loss = Counter()
+    for r in out:
+        loss[r["sequence_id"]] += r["loss_tokens"]
+    assert 0 < max(loss.values()) <= 100
+
+
 def test_packed_rows(spark):
     rows = cases.documents(spark)
     out = packing.pack(rows.repartition(3), packing.tokenizer_path()).collect()

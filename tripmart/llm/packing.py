@@ -44,7 +44,8 @@ OUT_ROWS = 20_000
 
 
 class Limits(NamedTuple):
-    """Of one sequence. A document's first id bears no loss: nothing predicts it."""
+    """Of one sequence. The ids of a prompt bear no loss, nor does a document's first
+    id: nothing predicts it."""
 
     tokens: int = TOKENS
     segments: int = SEGMENTS
@@ -56,10 +57,16 @@ class Piece(NamedTuple):
     total: int  # ids of the whole document
     start: int
     ids: np.ndarray
+    free: int = 1  # leading ids of the document that bear no loss
+
+    @property
+    def still_free(self) -> int:
+        """Leading ids of this piece that bear no loss."""
+        return min(len(self.ids), max(0, self.free - self.start))
 
     @property
     def loss(self) -> int:
-        return len(self.ids) - (self.start == 0)
+        return len(self.ids) - self.still_free
 
     def cut(self, at: int) -> tuple[Piece, Piece]:
         return self._replace(ids=self.ids[:at]), self._replace(start=self.start + at, ids=self.ids[at:])
@@ -94,13 +101,12 @@ class Packer:
 
     def _most(self, piece: Piece, tokens: int, loss: int) -> int:
         """Ids of a piece that fit into so much room."""
-        return min(len(piece.ids), tokens, loss + (piece.start == 0))
+        return min(len(piece.ids), tokens, loss + piece.still_free)
 
     def add(self, piece: Piece) -> None:
-        full = self._most(piece, self.limits.tokens, self.limits.loss)
-        whole = 1 << (full.bit_length() - 1) if full < self.limits.tokens else full
-        while len(piece.ids) >= self.limits.tokens and self._most(piece, self.limits.tokens, self.limits.loss) >= whole:
-            head, piece = piece.cut(whole)
+        while len(piece.ids) >= self.limits.tokens:
+            full = self._most(piece, self.limits.tokens, self.limits.loss)
+            head, piece = piece.cut(1 << (full.bit_length() - 1) if full < self.limits.tokens else full)
             self.emit([head])
         if len(piece.ids):
             self._wait(piece)
@@ -202,8 +208,8 @@ def units(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     opens[starts] = True
     first = np.flatnonzero(opens)
     run = np.searchsorted(starts, first, "right") - 1
-    last = np.append(first[1:], 0)
-    new_run = np.append(run[1:] != run[:-1], True)
+    last = np.append(first[1:], 0)[: len(first)]
+    new_run = np.append(run[1:] != run[:-1], True)[: len(first)]
     last[new_run] = ends[run[new_run]]
     upper = plain & ((data >= 65) & (data <= 90) | latin & (data >= 0x80) & (data <= 0x9E))
     return data + upper.astype(np.uint8) * np.uint8(32), first, last, owner[run]
@@ -273,16 +279,22 @@ def remembered(path: str) -> Ids:
     return tokenizers.remembered_ids[path]
 
 
-def pack(documents: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", limits: Limits = Limits(), pool: int = POOL) -> DataFrame:
+def pack(
+    documents: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", limits: Limits = Limits(), pool: int = POOL, prompt: str | None = None
+) -> DataFrame:
     """A row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, loss_tokens``.
 
-    Null text counts as empty and still has its end id. Rows with equal or null ids
+    ``prompt`` names a column of texts that stand before ``text``: their ids come
+    first and bear no loss, and the limit on loss counts the ids behind them. Without
+    it, all ids of a document but the first bear loss.
+    Null text or prompt counts as empty; a document still has its end id. Rows with equal or null ids
     are documents of their own. Every id of every row lies in exactly one piece.
     Empty input gives no rows; other columns are ignored. Sequence numbers are
     unique and depend on how the input is split, not on when a task is run again.
     """
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss_tokens"]
-    rows = documents.select(documents[f"`{key}`"].alias("doc_id"), documents[f"`{text}`"].alias("text"))
+    texts = [documents[f"`{text}`"].alias("text")] + ([] if prompt is None else [documents[f"`{prompt}`"].alias("prompt")])
+    rows = documents.select(documents[f"`{key}`"].alias("doc_id"), *texts)
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, " + ", ".join(f"{c} long" for c in names[1:])
 
@@ -306,17 +318,28 @@ def pack(documents: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
             out.clear()
             return pa.RecordBatch.from_arrays(arrays, names=names)
 
+        def pieces_of(batch: pa.RecordBatch) -> Iterator[Piece]:
+            keys = batch.column(0).to_pylist()
+            if prompt is None:
+                for k, found in zip(keys, ids.of(batch.column(1)), strict=True):
+                    yield Piece(k, len(found), 0, found)
+                return
+            for k, answer, asked in zip(keys, ids.of(batch.column(1)), ids.of(batch.column(2)), strict=True):
+                joined = np.concatenate([asked[:-1], answer])  # without the prompt's end id
+                yield Piece(k, len(joined), 0, joined, max(1, len(asked) - 1))
+
         # Millions of small values live on and none refer to one another.
         gc.disable()
-        for batch in batches:
-            key_type = batch.column(0).type
-            keys = batch.column(0).to_pylist()
-            for k, found in zip(keys, ids.of(batch.column(1)), strict=True):
-                packer.add(Piece(k, len(found), 0, found))
-                if len(out) >= OUT_ROWS:
-                    yield drained()
-        packer.finish()
-        gc.enable()
+        try:
+            for batch in batches:
+                key_type = batch.column(0).type
+                for piece in pieces_of(batch):
+                    packer.add(piece)
+                    if len(out) >= OUT_ROWS:
+                        yield drained()
+            packer.finish()
+        finally:
+            gc.enable()
         if out:
             yield drained()
 
