@@ -11,8 +11,9 @@ separator. A text is cut into pieces of ``PIECE`` symbols that are parsed side b
 side, a step of all pieces and languages being one array lookup; each piece ends its
 last phrase. All symbols count.
 
-The automata come from a bounded sample and have a bounded size; they are sent to
-the workers. Texts are read in one narrow pass.
+The automata come from a bounded sample: ``SAMPLE_TEXTS`` texts of a language with
+even shares of ``SAMPLE_SYMBOLS`` symbols, ``SAMPLE_ALL`` in all languages or ``FLOOR`` in each
+if that is more. A symbol takes about 0.4 KB; the automata are sent to the workers. Texts are read in one narrow pass.
 """
 
 from __future__ import annotations
@@ -32,6 +33,10 @@ from tripmart.llm.text import in_batches
 SAMPLE_TEXTS = 60
 SAMPLE_SYMBOLS = 24_000
 SAMPLE_ALL = 240_000
+#: Symbols that each language may give, however many languages there are.
+FLOOR = 2_000
+#: Parts of a text that is longer than its share of the sample.
+SLICES = 4
 #: Symbols with a number of their own; the others share the last SHARED numbers.
 OWN = 48
 SHARED = 15
@@ -117,13 +122,40 @@ def automaton(sequence: np.ndarray, width: int) -> np.ndarray:
     return table
 
 
+def shares(sizes: list[int], most: int) -> list[int]:
+    """Even shares of ``most`` for texts of these sizes, none above its text's size."""
+    out, left = [0] * len(sizes), most
+    for rank, at in enumerate(sorted(range(len(sizes)), key=sizes.__getitem__)):
+        out[at] = min(sizes[at], -(-left // (len(sizes) - rank)))
+        left -= out[at]
+    return out
+
+
+def _shared(texts: list[str], most: int) -> list[str]:
+    """The parts of each text that are learned from: evenly spaced slices of its share."""
+    out = []
+    for text, share in zip(texts, shares([len(t) for t in texts], most), strict=True):
+        each = -(-share // SLICES)
+        if share == len(text) or each * SLICES >= len(text):
+            out.append(text)
+        else:
+            starts = [k * (len(text) - each) // (SLICES - 1) for k in range(SLICES)]
+            out.append("\n".join(text[a : a + each] for a in starts))
+    return out
+
+
 def learn(samples: dict[str, list[str]], most: int = SAMPLE_SYMBOLS, most_all: int = SAMPLE_ALL) -> Model:
-    """Automata of the languages' sample texts, each up to ``most`` symbols."""
+    """Automata of the languages' sample texts, each up to ``most`` symbols.
+
+    All languages together get ``most_all`` symbols, but none less than ``FLOOR``.
+    The texts of a language have even shares; what short texts leave is given to the
+    longer ones, and of a text longer than its share ``SLICES`` slices are taken.
+    """
     languages = sorted(samples)
-    most = max(1, min(most, most_all // max(1, len(languages))))
+    most = max(1, min(most, max(FLOOR, most_all // max(1, len(languages)))))
     letters, marks = _categories()
     used = letters | marks
-    joined = {name: symbols("\n".join(t[: 4 * most] for t in samples[name])) for name in languages}
+    joined = {name: symbols("\n".join(_shared(samples[name], most))) for name in languages}
     plain = np.concatenate([*joined.values(), np.zeros(0, np.uint32)])
     often = np.bincount(plain, minlength=len(used)) * used
     ranked = [int(c) for c in np.argsort(-often, kind="stable")[: OWN - 1] if often[c]]
@@ -218,15 +250,20 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
+def _middle(text: Column, most: int) -> Column:
+    """At most ``most`` characters from the middle of a text."""
+    return F.substring(text, F.greatest(F.lit(0), F.floor((F.length(text) - most) / 2)).cast("int") + 1, F.lit(most))
+
+
 def fit(documents: DataFrame, texts: int = SAMPLE_TEXTS) -> Model:
     """Learns from rows with an id that is not held out, a text and a language.
 
     Each language gives the texts with the lowest hashes: Spark cuts the row number
     off before its shuffle, so a frequent language meets in no task. At most
-    ``texts`` texts of a language, each up to a bounded length, reach the driver.
+    ``texts`` texts of a language reach the driver, of a very long one its middle.
     """
     known = documents.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & (F.col("lang") != UNKNOWN) & F.col("text").rlike(r"\p{L}"))
-    rows = known.select("lang", F.substring("text", 1, 4 * SAMPLE_SYMBOLS).alias("text"), F.xxhash64(F.col("doc_id"), F.col("text"), F.lit(SEED)).alias("_hash"))
+    rows = known.select("lang", _middle(F.col("text"), 4 * SAMPLE_SYMBOLS).alias("text"), F.xxhash64(F.col("doc_id"), F.col("text"), F.lit(SEED)).alias("_hash"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("_hash", "text"))
     sample = rows.withColumn("_place", place).where(F.col("_place") <= texts)
     found = sample.select("lang", "_place", "text").collect()
