@@ -163,9 +163,52 @@ def test_measures_equal_their_definitions(spark):
         assert row.tolist() == pytest.approx(plain_measures(text), abs=1e-12), text
 
 
-def test_weights_solve_the_pairwise_loss():
+def plain_grams(text, buckets):
+    """Signed counts of words and neighbours by their hashes, with no numpy."""
+    whole = (1 << 64) - 1
+    base = 0x9E3779B97F4A7C15
+
+    def mix(x):
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & whole
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & whole
+        return x ^ (x >> 31)
+
+    hashes = [mix(sum((b + 1) * pow(base, i, 1 << 64) for i, b in enumerate(w.encode())) & whole) for w in cases.words(text)]
+    every = hashes + [mix((b + mix(a)) & whole) for a, b in zip(hashes, hashes[1:], strict=False)]
+    sums = [0] * buckets
+    for h in every:
+        sums[(h >> 1) % buckets] += -1 if h & 1 else 1
+    damped = [np.copysign(np.log1p(abs(x)), x) if x else 0.0 for x in sums]
+    size = sum(x * x for x in damped) ** 0.5
+    return [x / size for x in damped] if size else damped
+
+
+def test_grams_equal_plain_counts(spark):
+    texts = [r["text"] for r in cases.documents(spark).collect()] + ODD
+    found = ranking.measures(pa.array(texts, pa.string()), 64)
+    assert found.shape == (len(texts), len(ranking.MEASURES) + 64)
+    for text, row in zip(texts, found[:, len(ranking.MEASURES) :], strict=True):
+        assert row.tolist() == pytest.approx(plain_grams(text, 64), abs=1e-9), text
+    assert ranking.measures(pa.array([], pa.string()), 64).shape == (0, len(ranking.MEASURES) + 64)
+
+
+def test_words_alone_tell_labels_apart(spark):
+    # Both labels have words of one length and no other signs: no measure differs but by chance.
+    draw = random.Random(4)
+    said = {q: ["".join(draw.choice("abcdefgh") for _ in range(5)) for _ in range(40)] for q in (0, 1)}
+    rows = [(i, " ".join(draw.choice(said[i % 2] if draw.random() < 0.5 else said[0] + said[1]) for _ in range(60))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(600)], "doc_id long, quality int")
+    out = ranking.score(docs, ranking.fit(docs, labels)).where(ranking.held_out(F.col("doc_id"))).collect()
+    good, bad = ([r["score"] for r in out if r["doc_id"] % 2 == q] for q in (1, 0))
+    assert len(good) > 40 and len(bad) > 40 and np.mean([a > b for a in good for b in bad]) > 0.97
+
+
+@pytest.mark.parametrize("buckets", [0, 24])
+def test_weights_solve_the_pairwise_loss(buckets):
     draw = np.random.default_rng(3)
-    good, bad = draw.normal(0.4, 1, (80, len(ranking.MEASURES))), draw.normal(0, 1.2, (50, len(ranking.MEASURES)))
+    width = len(ranking.MEASURES) + buckets
+    good, bad = draw.normal(0.4, 1, (80, width)), draw.normal(0, 1.2, (50, width))
     model = ranking.learn(good, bad, 0.25, pairs=2000)
     again = np.random.default_rng(ranking.SEED)
     spread = lambda x: ranking._spread_out(x, model.steps, model.centre, model.spread)
