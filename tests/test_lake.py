@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tripmart.operators.checks import ChecksFailed, evaluate, gate, run_checks
 from tripmart.plans import build, trip_checks, trips
+from tripmart.session import scratch, stored
 from tripmart.sources import landing, lookup_csv
 from tripmart.sources.landing import EmptyLoad
 from tripmart.sources.lake import TRIPS, ZONES, CommitConflict, Lake
@@ -496,3 +497,16 @@ def test_failed_layer_stops_what_reads_it(spark, lake, tmp_path):
 
 def test_good_row_is_good(spark):
     assert trips.labelled(texts(spark, [{}])).first().dq_status == trips.PASS and GOOD
+
+
+def test_scratch_folders_go_with_their_step(spark):
+    kept = stored(spark.range(3), "kept")
+    with scratch(spark):
+        inner = stored(spark.range(5), "step")
+        (folder,) = {p.rsplit("/", 1)[0] for p in inner.inputFiles()}
+        assert os.path.exists(folder.removeprefix("file://")) and inner.count() == 5
+    assert not os.path.exists(folder.removeprefix("file://")) and kept.count() == 3
+    with pytest.raises(ValueError), scratch(spark):
+        (folder,) = {p.rsplit("/", 1)[0] for p in stored(spark.range(5), "step").inputFiles()}
+        raise ValueError
+    assert not os.path.exists(folder.removeprefix("file://"))

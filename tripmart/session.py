@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,6 +52,27 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+#: Folders named inside the innermost ``scratch``, if there is one.
+_NAMED: ContextVar[list[str] | None] = ContextVar("named", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes, when it ends, every folder that ``shared_dir`` names inside it.
+
+    For steps that write their result to a folder named before: what they store on the
+    way is of no use afterwards. Frames that read such folders must not outlive it. A step
+    that fails leaves nothing either.
+    """
+    outer = _NAMED.set([])
+    try:
+        yield
+    finally:
+        named = _NAMED.get() or []
+        _NAMED.reset(outer)
+        remove_stored(spark, *named)
+
+
 def remove_stored(spark: SparkSession, *folders: str) -> None:
     """Delete folders that ``shared_dir`` named, once nothing reads them any more."""
     context = spark.sparkContext
@@ -72,4 +96,8 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         spark.conf.set("spark.checkpoint.dir", base)
     if "://" not in base and base.startswith("/") and spark.sparkContext.master.startswith("local"):
         os.makedirs(base, exist_ok=True)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    named = _NAMED.get()
+    if named is not None:
+        named.append(folder)
+    return folder
