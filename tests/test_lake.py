@@ -1,5 +1,7 @@
 import hashlib
 import os
+import random
+import threading
 
 import pytest
 from helpers import GOOD, texts
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tripmart.operators.checks import ChecksFailed, evaluate, gate, run_checks
 from tripmart.plans import build, trip_checks, trips
-from tripmart.session import scratch, stored
+from tripmart.session import scratch, small_methods, stored
 from tripmart.sources import landing, lookup_csv
 from tripmart.sources.landing import EmptyLoad
 from tripmart.sources.lake import TRIPS, ZONES, CommitConflict, Lake
@@ -262,6 +264,66 @@ def test_digests_of_streamed_files(spark, tmp_path):
         landing.manifest(spark, str(tmp_path))
 
 
+def test_large_files_are_hashed_in_blocks(spark, tmp_path, monkeypatch):
+    """Several tasks share a file; facts depend on its bytes alone, and its footer is found."""
+    monkeypatch.setattr(landing, "BLOCK_BYTES", 10_000)
+    # The reader of footers takes 64 KB at once.
+    monkeypatch.setattr(landing, "FOOTER_BYTES", 70_000)
+    draw = random.Random(1)
+    lines = b"\n".join(draw.randbytes(draw.randrange(300)).replace(b"\n", b"") for _ in range(400))
+    blobs = [lines, lines + b"\n", b"\xef\xbb\xbf" + lines, b"\xef\xbb\xbf" + lines + b"\n", b"PAR1" + lines + b"PAR1", b"x" * 50_000, b"\n" * 30_000, b"small", b"\n"]
+    blobs += [(b"x" * 99 + b"\n") * 300, (b"x" * 99 + b"\n") * 299 + b"x" * 99, lines[:20_000], lines[:10_000], lines[:10_001]]
+    for i, blob in enumerate(blobs):
+        write(tmp_path / f"{i}.bin", blob, "wb")
+        write(tmp_path / f"{i}.again", blob, "wb")
+    spark.range(40_000).selectExpr("id", "cast(id as string) name").coalesce(1).write.parquet(str(tmp_path / "p"))
+    rows = landing.manifest(spark, str(tmp_path)).collect()
+    found = {r.source_file: r for r in rows}
+    assert len(rows) == 2 * len(blobs) + 1
+    for i, blob in enumerate(blobs):
+        one, two = found[f"{i}.bin"], found[f"{i}.again"]
+        assert (one.byte_count, one.file_sha256, one.has_signature) == (len(blob), two.file_sha256, i == 4)
+        assert (one.file_sha256 == hashlib.sha256(blob).hexdigest()) == (len(blob) <= 10_000)
+    assert len({r.file_sha256 for r in rows}) == len(blobs) + 1
+    parquet = next(r for r in rows if r.source_file.endswith(".parquet"))
+    assert parquet.byte_count > 200_000 and parquet.has_signature and parquet.schema
+    assert landing.manifest(spark, str(tmp_path)).rdd.getNumPartitions() > 8
+
+
+def test_periods_are_captured_side_by_side(spark, lake, tmp_path, monkeypatch):
+    """Captures wait for one another, so one after the other would time out; a failure keeps the periods before it."""
+    files = {f"2025-0{i}": trip_file(spark, tmp_path, f"2025-0{i}", [{}] * i) for i in (1, 2, 3)}
+    together, capture = threading.Barrier(3, timeout=60), landing.capture
+
+    def waiting(*args):
+        together.wait()
+        return capture(*args)
+
+    monkeypatch.setattr(landing, "capture", waiting)
+    assert [(load.source_period, load.row_count) for load in lake.load_periods(files)] == [("2025-01", 1), ("2025-02", 2), ("2025-03", 3)]
+
+    def failing(spark_, path, period, schemas):
+        if period == "2025-02":
+            raise ValueError("bad period")
+        return capture(spark_, path, period, schemas)
+
+    monkeypatch.setattr(landing, "capture", failing)
+    before = {r.source_period: r.load_id for r in lake.loads(TRIPS)}
+    with pytest.raises(ValueError, match="bad period"):
+        lake.load_periods(files)
+    after = {r.source_period: r.load_id for r in lake.loads(TRIPS)}
+    assert [after[p] != before[p] for p in sorted(files)] == [True, False, False]
+
+
+def test_queries_let_wide_projections_compile(spark):
+    session = spark.newSession()
+    session.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    small_methods(session)
+    assert session.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    session.conf.set("spark.sql.codegen.hugeMethodLimit", "4000")
+    assert small_methods(session).conf.get("spark.sql.codegen.hugeMethodLimit") == "4000"
+
+
 def test_settings_of_the_session_reach_the_capture(spark, lake, tmp_path):
     spark.conf.set("spark.sql.parquet.binaryAsString", "true")
     try:
