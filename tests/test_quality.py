@@ -151,6 +151,18 @@ def test_duplicate_rank_equals_brute_force(spark, seed, block_rows):
     )
 
 
+def test_few_unrepeated_keys_are_marked(spark):
+    """Every repeated key is marked, null included, and rows of most others never meet a shuffle."""
+    ids = [*range(3000), *range(0, 3000, 100), None, None]
+    rows = spark.createDataFrame([(i, i if i is None else -i) for i in ids], "k long, other long")
+    found = dedup.marked_repeated(rows, ["k"], "marked").collect()
+    assert sorted(map(str, ((r.k, r.other) for r in found))) == sorted(map(str, ((i, i if i is None else -i) for i in ids)))
+    assert all(r.marked for r in found if r.k is None or r.k % 100 == 0)
+    assert sum(r.marked for r in found) <= 64
+    crowded = dedup.marked_repeated(rows, ["k"], "marked", bits=8)
+    assert crowded.filter("marked").count() > 62 and crowded.filter("k is null or k % 100 = 0").filter("not marked").count() == 0
+
+
 def test_rank_does_not_depend_on_row_order(spark):
     labels = messy(spark, 5)
     shuffled = labels.orderBy(F.rand(3)).repartition(7)

@@ -10,6 +10,7 @@ Joined to the aggregation itself, the rows would have to follow its partitioning
   shuffle, so a map task sends at most one row per record.
 * ``repeated_keys`` and ``first_copies`` are aggregations with a partial step
   directly over the rows.
+* ``marked_repeated`` tells, by a broadcast of bitmaps, most rows of unrepeated keys.
 * ``duplicate_rank`` needs every rank. It numbers the repeated records' origins
   inside bounded blocks of a record and adds the sizes of the blocks before.
 """
@@ -24,6 +25,10 @@ from pyspark.sql import functions as F
 from tripmart.session import stored
 
 BLOCK_ROWS = 1 << 20
+# Bits that mark hashes of repeated keys: 8 MB at most, whatever the input.
+MARK_BITS = 1 << 26
+# Fixed value: bits of one bitmap of Spark.
+BITMAP_BITS = 1 << 15
 
 
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -75,6 +80,24 @@ def flag_first(
     )
 
 
+def marked_repeated(df: DataFrame, key: Sequence[str], into: str, bits: int = MARK_BITS) -> DataFrame:
+    """Mark every row whose key is repeated, and a few others, without a shuffle of the rows.
+
+    Only 64-bit hashes of the keys are shuffled. The bits of those that occur twice are
+    set in bitmaps, which are stored and broadcast. Hashes or bits that coincide mark a
+    row too many, never one too few.
+    """
+    bucket, marks, place = "__bucket", "__marks", F.pmod(F.xxhash64(*key), F.lit(bits))
+    twice = df.select(F.xxhash64(*key).alias("__hash")).groupBy("__hash").agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
+    found = twice.select(F.pmod("__hash", F.lit(bits)).alias("__place")).groupBy(F.expr(f"__place div {BITMAP_BITS}").alias(bucket))
+    bitmaps = stored(found.agg(F.bitmap_construct_agg(F.bitmap_bit_position("__place")).alias(marks)), "marks")
+    bit = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(F.col(marks), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    mark = F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))
+    wide = df.withColumn(bucket, (place / BITMAP_BITS).cast("long")).join(F.broadcast(bitmaps), bucket, "left")
+    return wide.withColumn(into, mark).drop(bucket, marks)
+
+
 def duplicate_rank(
     df: DataFrame,
     key: Sequence[str],
@@ -90,13 +113,17 @@ def duplicate_rank(
     leading order columns, so no window group is larger than that, however often a
     record repeats. Only the block sizes are then ordered per key. Repeated keys are
     stored, and their rows dealt out by key and block, so neither join nor window needs
-    a record's rows together. ``df`` is read three times: store it before.
+    a record's rows together. Rows whose key cannot be repeated are told by marks and
+    never shuffled. ``df`` is read four times: store it before.
     """
     *lead, row = order
-    block, before, local = "__block", "__before", "__local"
+    block, before, local, maybe = "__block", "__before", "__local", "__maybe"
     blocks = [*lead, block]
-    several = stored(repeated_keys(df, key).select(*key), "repeated")
-    numbered = df.select(*key, *order).join(several, list(key), "left_semi")
+    marked = marked_repeated(df, key, maybe)
+    alone, shared = marked.filter(~F.col(maybe)).drop(maybe), marked.filter(maybe).drop(maybe)
+    narrow = stored(shared.select(*key, *order), "marked")
+    several = stored(repeated_keys(narrow, key).select(*key), "repeated")
+    numbered = narrow.join(several, list(key), "left_semi")
     numbered = numbered.withColumn(block, F.expr(f"`{row}` div {block_rows}")).repartition(*key, *blocks)
     inside = Window.partitionBy(*key, *blocks).orderBy(F.col(row).asc_nulls_last())
     earlier = (
@@ -117,4 +144,7 @@ def duplicate_rank(
         .withColumn(into, (F.col(local) + F.coalesce(F.col(before), F.lit(0))).cast("long"))
         .select(*key, *order, into)
     )
-    return df.join(ranks, [*key, *order], "left").withColumn(into, F.coalesce(F.col(into), F.lit(1).cast("long")))
+    first = F.lit(1).cast("long")
+    ranked = shared.join(ranks, [*key, *order], "left").withColumn(into, F.coalesce(F.col(into), first))
+    # The join brings its columns to the front.
+    return ranked.unionByName(alone.withColumn(into, first))
