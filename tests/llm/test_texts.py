@@ -230,6 +230,36 @@ def test_weights_solve_the_pairwise_loss(buckets):
 
 
 
+def test_every_labelled_text_is_learned_from(spark):
+    """Texts dealt out in many blocks: each block counts, each text is in a pair, and a rare label is in all blocks."""
+    draw = random.Random(5)
+    said = {q: ["".join(draw.choice("abcdefgh") for _ in range(5)) for _ in range(40)] for q in (0, 1)}
+    kinds = [int(i % 12 != 0) for i in range(1800)]
+    rows = [(i, " ".join(draw.choice(said[q] if draw.random() < 0.5 else said[0] + said[1]) for _ in range(60))) for i, q in enumerate(kinds)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(list(enumerate(kinds)), "doc_id long, quality int")
+    learned = sum(1 for i in range(1800) if zlib.crc32(str(i).encode()) % 5)
+    seen = spark.sparkContext.accumulator(0)
+    solved = ranking.solved
+
+    def counting(x_good, x_bad, i, j):
+        seen.add(len(set(i.tolist())) + len(set(j.tolist())))
+        assert len(set(i.tolist())) == len(x_good) and len(set(j.tolist())) == len(x_bad) >= 60
+        return solved(x_good, x_bad, i, j)
+
+    ranking.solved = counting
+    try:
+        model = ranking.fit(docs, labels, block=300)
+    finally:
+        ranking.solved = solved
+    assert seen.value > learned
+    out = ranking.score(docs, model).where(ranking.held_out(F.col("doc_id"))).collect()
+    good, bad = ([r["score"] for r in out if kinds[r["doc_id"]] == q] for q in (1, 0))
+    assert np.mean([a > b for a in good for b in bad]) > 0.95
+    again = ranking.fit(docs.repartition(7), labels.repartition(3), block=300)
+    assert np.allclose(again.weights, model.weights, atol=1e-9) and again.threshold == pytest.approx(model.threshold)
+
+
 def test_ranking_on_held_out_labels(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     found = ranking.query(spark, SF).join(labels, "doc_id").where("held_out").collect()

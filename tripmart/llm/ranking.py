@@ -2,12 +2,14 @@
 
 Each text becomes a few surface measures, taken from all of its bytes, and the counts
 of its words and pairs of neighbouring words, hashed into buckets. Measures are
-spread over steps at the quantiles of the learned sample, so a preference need not
-be linear in them; counts are damped by a logarithm and brought to length 1. From the labelled rows, pairs of a good and a bad text are drawn;
-the probability that the good one is preferred is the logistic function of the
-difference of their scores, and the weights minimise the logistic loss over all
-pairs. A score quantile then separates the texts: as many labelled texts lie under
-it as are labelled bad. Learning uses a bounded sample, scoring reads every text.
+spread over steps at their quantiles over all labelled texts, so a preference need not
+be linear in them; counts are damped by a logarithm and brought to length 1. The
+labelled texts are dealt out in blocks of bounded size. In each block pairs of a good and
+a bad text are formed, in which every text occurs; the probability that the good one is
+preferred is the logistic function of the difference of their scores, and the block's
+weights minimise the logistic loss over its pairs. The weights of the model are the mean
+of all blocks'. A score quantile then separates the texts: as many labelled texts lie
+under it as are labelled bad. Learning reads every labelled text, scoring every text.
 """
 
 from __future__ import annotations
@@ -19,11 +21,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.llm.mixing import stored
 from tripmart.llm.text import Hasher, blocks, characters, counts, in_batches, lines, mixed, repeats, words
 
-#: Texts of each label that are learned from, at most, and the pairs drawn from them.
-SAMPLE = 2000
+#: Texts of a label in a block, about; those it has at least, if there are as many; and its pairs.
+BLOCK = 2000
+LEAST = 200
 PAIRS = 20000
+#: Pairs whose differences are in memory at once.
+CHUNK = 2000
+#: Labelled ids that are broadcast, at most.
+BROADCAST = 1 << 20
+#: Bounds the rank error of quantiles over all labelled texts: one part in this many.
+ACCURACY = 100_000
 STEPS = 12
 RIDGE = 1e-3
 #: Buckets of hashed words and pairs of words.
@@ -147,8 +157,33 @@ def _spread_out(values: np.ndarray, steps: np.ndarray, centre: np.ndarray, sprea
     return np.concatenate([linear, above.astype(float), hashed], axis=1)
 
 
+def solved(x_good: np.ndarray, x_bad: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Weights by Newton's method on the logistic loss of the pairs ``i, j`` of rows."""
+    weights = np.zeros(x_good.shape[1])
+    for _ in range(ROUNDS):
+        slope, bend = RIDGE * weights, RIDGE * np.eye(len(weights))
+        for low in range(0, len(i), CHUNK):
+            difference = x_good[i[low : low + CHUNK]] - x_bad[j[low : low + CHUNK]]
+            wrong = 1 / (1 + np.exp(np.clip(difference @ weights, -500, 500)))
+            slope -= difference.T @ wrong / len(i)
+            bend += (difference * (wrong * (1 - wrong))[:, None]).T @ difference / len(i)
+        step = np.linalg.solve(bend, slope)
+        weights = weights - step
+        if np.abs(step).max() < 1e-8:
+            break
+    return weights
+
+
+def block_weights(good: np.ndarray, bad: np.ndarray, steps: np.ndarray, centre: np.ndarray, spread: np.ndarray, pairs: int = PAIRS) -> np.ndarray:
+    """The weights of one block, from pairs in which each of its texts occurs."""
+    draw = np.random.default_rng(SEED)
+    pairs = max(pairs, len(good), len(bad))
+    i, j = (np.concatenate([draw.permutation(n) for _ in range(-(-pairs // n))])[:pairs] for n in (len(good), len(bad)))
+    return solved(*(_spread_out(x, steps, centre, spread) for x in (good, bad)), i, j)
+
+
 def learn(good: np.ndarray, bad: np.ndarray, bad_share: float, pairs: int = PAIRS) -> Model:
-    """Weights by Newton's method on the logistic loss of ``pairs`` drawn pairs.
+    """The model of one block that is in memory, from ``pairs`` drawn pairs.
 
     ``bad_share`` is the share of label 0 among all labelled rows; the threshold is
     that quantile of the sample's scores, each label weighted by its true share.
@@ -163,16 +198,7 @@ def learn(good: np.ndarray, bad: np.ndarray, bad_share: float, pairs: int = PAIR
         return Model(steps, centre, spread, np.zeros(width), -1.0 if not len(bad) else 1.0, 1.0)
     draw = np.random.default_rng(SEED)
     x_good, x_bad = (_spread_out(x, steps, centre, spread) for x in (good, bad))
-    difference = x_good[draw.integers(len(good), size=pairs)] - x_bad[draw.integers(len(bad), size=pairs)]
-    weights = np.zeros(difference.shape[1])
-    for _ in range(ROUNDS):
-        wrong = 1 / (1 + np.exp(np.clip(difference @ weights, -500, 500)))
-        slope = RIDGE * weights - difference.T @ wrong / pairs
-        bend = (difference * (wrong * (1 - wrong))[:, None]).T @ difference / pairs + RIDGE * np.eye(len(weights))
-        step = np.linalg.solve(bend, slope)
-        weights = weights - step
-        if np.abs(step).max() < 1e-8:
-            break
+    weights = solved(x_good, x_bad, draw.integers(len(good), size=pairs), draw.integers(len(bad), size=pairs))
     scores = np.concatenate([x_good @ weights, x_bad @ weights])
     share = np.concatenate([np.full(len(good), (1 - bad_share) / len(good)), np.full(len(bad), bad_share / len(bad))])
     order = np.argsort(scores, kind="stable")
@@ -217,33 +243,103 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learns from labelled rows that are not held out.
+def _columns() -> list[Column]:
+    """The measures of a stored row as doubles."""
+    return [F.col("_measures")[i] for i in range(len(MEASURES))]
+
+
+def _unpacked(rows: DataFrame) -> DataFrame:
+    """``(doc_id, quality, _out)`` with the measures as an array of doubles."""
+
+    def work(batches):
+        for batch in batches:
+            values = [np.frombuffer(x.as_py(), "<f8")[: len(MEASURES)].tolist() for x in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.list_(pa.float64()))], names=["doc_id", "quality", "_out", "_measures"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return in_batches(rows, work, f"doc_id {kind}, quality int, _out binary, _measures array<double>")
+
+
+def _weights_of_blocks(rows: DataFrame, steps: np.ndarray, centre: np.ndarray, spread: np.ndarray) -> DataFrame:
+    """``(block, weights)`` of every block that has texts of both labels."""
+
+    def work(key, table):
+        values = np.stack([np.frombuffer(x.as_py(), "<f8") for x in table.column("_out")])
+        quality = table.column("quality").to_numpy()
+        order = np.lexsort([table.column("place").to_numpy()])
+        values, quality = values[order], quality[order]
+        found = []
+        if 0 < quality.sum() < len(quality):
+            found = [block_weights(values[quality == 1], values[quality == 0], steps, centre, spread).tolist()]
+        return pa.table({"block": pa.array([key[0].as_py()] * len(found), pa.int64()), "weights": pa.array(found, pa.list_(pa.float64()))})
+
+    return rows.groupBy("block").applyInArrow(work, "block long, weights array<double>")
+
+
+def _raw_scores(rows: DataFrame, model: Model) -> DataFrame:
+    """``(quality, raw)``: scores before they are brought to 0 to 1."""
+
+    def work(batches):
+        for batch in batches:
+            values = np.stack([np.frombuffer(x.as_py(), "<f8") for x in batch.column(1)]) if batch.num_rows else np.zeros((0, len(MEASURES) + BUCKETS))
+            raw = _spread_out(values, model.steps, model.centre, model.spread) @ model.weights
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.float64())], names=["quality", "raw"])
+
+    return in_batches(rows.select("quality", "_out"), work, "quality int, raw double")
+
+
+def fit(documents: DataFrame, labels: DataFrame, block: int = BLOCK) -> Model:
+    """Learns from all labelled rows that are not held out.
 
     Rows without a text or without a label 0 or 1 teach nothing. Of repeated labels
-    of an id the smallest counts. The sample of each label is that of the lowest
-    id hashes: a row number that Spark cuts off before its shuffle, so no task
-    holds a whole label. At most ``2 * sample`` rows of measures and grams reach the
-    driver, some 4 KB each.
+    of an id the smallest counts. Texts go to blocks by a hash of their id; a rare label's
+    texts go to several, so that a block has about ``LEAST`` of them. Measures and grams
+    of labelled texts are stored, some 4 KB each. The driver gets the weights of each
+    block, some 6 KB for ``block`` texts, and quantiles.
     """
     width = len(MEASURES) + BUCKETS
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    shares = {row["quality"]: row["n"] for row in known.groupBy("quality").agg(F.count("*").alias("n")).collect()}
-    if not shares:
-        return learn(np.zeros((0, width)), np.zeros((0, width)), 0.0)
-    by_hash = F.struct(F.xxhash64(F.col("doc_id"), F.lit(SEED)), F.col("doc_id"))
-    ranks = []
-    for quality in (0, 1):
-        ranks.append(known.where(F.col("quality") == quality).orderBy(by_hash).limit(sample))
-    chosen = ranks[0].unionByName(ranks[1])
+    known = known.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
     texts = documents.select("doc_id", "text").where(F.col("text").isNotNull())
-    joined = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")
+    # Up to this many ids spare the texts a shuffle; more would be too large to broadcast.
+    side = F.broadcast(known) if known.count() <= BROADCAST else known
+    joined = texts.join(side, "doc_id").select("doc_id", "quality", "text")
     # One row for each id, however often it is repeated.
-    found = measured(joined, "text").groupBy("doc_id", "quality").agg(F.min("_out").alias("_out")).collect()
-    found.sort(key=lambda r: (r["quality"], r["doc_id"], r["_out"]))
-    rows = {q: np.frombuffer(b"".join(r["_out"] for r in found if r["quality"] == q), "<f8").reshape(-1, width) for q in (0, 1)}
-    return learn(rows[1], rows[0], shares.get(0, 0) / sum(shares.values()))
+    found = measured(joined, "text").groupBy("doc_id", "quality").agg(F.min("_out").alias("_out"))
+    rows = stored(_unpacked(found), "labelled-measures")
+    numbers = {r["quality"]: r["n"] for r in rows.groupBy("quality").agg(F.count("*").alias("n")).collect()}
+    n_good, n_bad = numbers.get(1, 0), numbers.get(0, 0)
+    if not n_good or not n_bad:
+        return learn(np.zeros((n_good, width)), np.zeros((n_bad, width)), 0.0)
+
+    cuts = np.linspace(0, 1, STEPS + 2)[1:-1].tolist()
+    columns = _columns()
+    facts = rows.agg(
+        *(F.percentile_approx(c, cuts, ACCURACY).alias(f"q{i}") for i, c in enumerate(columns)),
+        *(F.avg(c).alias(f"a{i}") for i, c in enumerate(columns)),
+        *(F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)),
+    ).first()
+    steps, centre, spread = (np.array([facts[f"{k}{i}"] for i in range(len(MEASURES))]) for k in "qas")
+    spread = spread + 1e-9
+
+    n_blocks = max(1, -(-max(n_good, n_bad) // block))
+    shares = {1: min(n_blocks, -(-n_blocks * LEAST // n_good)), 0: min(n_blocks, -(-n_blocks * LEAST // n_bad))}
+    times = F.when(F.col("quality") == 1, shares[1]).otherwise(shares[0])
+    place = F.xxhash64(F.col("doc_id"), F.lit(SEED))
+    dealt = rows.select("quality", "_out", place.alias("place"), F.explode(F.sequence(F.lit(0), times - 1)).alias("copy"))
+    dealt = dealt.select("quality", "_out", "place", F.pmod(F.col("place") + F.col("copy"), F.lit(n_blocks)).alias("block"))
+    blocks_ = sorted(_weights_of_blocks(dealt, steps, centre, spread).collect())
+    weights = np.mean([r["weights"] for r in blocks_], axis=0) if blocks_ else np.zeros(len(MEASURES) * (1 + STEPS) + BUCKETS)
+
+    model = Model(steps, centre, spread, weights, 0.0, 1.0)
+    scored = stored(_raw_scores(rows, model), "labelled-scores")
+    of = lambda q: F.percentile_approx(F.when(F.col("quality") == q, F.col("raw")), 0.5, ACCURACY)
+    below = F.percentile_approx("raw", F.lit(n_bad / (n_good + n_bad)), ACCURACY)
+    at = scored.agg(below.alias("below"), of(1).alias("good"), of(0).alias("bad")).first()
+    above = scored.where(F.col("raw") > at["below"]).agg(F.min("raw")).first()[0]
+    # The middle of the two scores around the quantile.
+    threshold = (at["below"] + (at["below"] if above is None else above)) / 2
+    return model._replace(threshold=float(threshold), scale=float(max(at["good"] - at["bad"], 1e-9) / 10))
 
 
 def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
