@@ -471,6 +471,21 @@ def test_data_sets_end_at_different_depths(spark):
     assert lengths[0] > lengths[1]
 
 
+def test_prefix_length_sees_every_pair(spark):
+    """A few pairs at the threshold among thousands of texts and nearly equal pairs shorten the prefix."""
+    draw = random.Random(21)
+    bases = [[f"w{draw.randrange(10**6)}" for _ in range(60)] for _ in range(9000)]
+    texts = [t for b in bases[:6000] for t in (" ".join(b), " ".join(b) + " end")] + [" ".join(b) for b in bases]
+    low = [" ".join(w if k != 20 else f"n{side}" for k, w in enumerate(b)) for b in bases[8990:] for side in "xy"]
+    forest, lengths = jaccard.Forest(), []
+    for some in (texts, texts + low):
+        frame = spark.createDataFrame([(i, t) for i, t in enumerate(some)], "doc_id long, text string").repartition(8)
+        keyed = frame.select(jaccard.text_key(F.col("text")).alias("key"), "text")
+        found = stored(jaccard._labelled(keyed, forest), "labels").dropDuplicates(["key"])
+        lengths.append(jaccard.prefix_length(keyed, found, forest))
+    assert lengths[0] == forest.depth > lengths[1]
+
+
 def test_neighbours_are_those_of_the_sorted_tries(spark):
     block = next(jaccard.blocks(pa.array([cases.sentence(random.Random(i % 30), 40) + f" {i % 45}" for i in range(90)])))
     forest = jaccard.Forest(trees=2, depth=6)

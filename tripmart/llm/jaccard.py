@@ -2,7 +2,7 @@
 
 A MinHash LSH forest finds candidates: each tree labels a text with a sequence of
 MinHash values, and texts that share a prefix of the label lie in one subtree of
-the sorted trie. A bounded sample of whole subtrees is sorted, and neighbours with a
+the sorted trie. All trees are sorted, and all neighbours with a
 common prefix are verified exactly. From the similarities of those that are linked
 follows, for each length of the prefix, the recall of pairs like them: the prefix is
 shortened from its full depth, level by level, until pairs of every band of similarity
@@ -36,9 +36,7 @@ SALTS = 16
 #: Bits of a level of a label; a label is two numbers of four levels.
 LEVEL_BITS = 16
 HALF = 4
-#: Labels and pairs that the sample of subtrees holds at most, and the width of a band.
-SAMPLE_LABELS = 400_000
-SAMPLE_PAIRS = 4096
+#: Width of a band of similarities.
 BAND = 0.05
 
 
@@ -67,11 +65,14 @@ class Forest(NamedTuple):
         similar = similar if len(similar) else np.array([self.similarity])
         weight = 1 / self.chance(similar, seen)
         band = ((similar - self.similarity) / BAND + 1e-9).astype(int)
+        found = [np.bincount(band, weight * self.chance(similar, length)) for length in range(1, self.depth + 1)]
+        return self.longest(np.bincount(band, weight), np.stack(found, axis=1))
+
+    def longest(self, wanted: np.ndarray, found: np.ndarray) -> int:
+        """The longest prefix that reaches the recall in each band, from the sums of weights
+        of its pairs and of those that each length from 1 on finds: (bands, depth)."""
         length = self.depth
-        while length > 1:
-            found = np.bincount(band, weight * self.chance(similar, length))
-            if (found >= self.recall * np.bincount(band, weight)).all():
-                break
+        while length > 1 and not (found[:, length - 1] >= self.recall * wanted).all():
             length -= 1
         return length
 
@@ -198,25 +199,31 @@ def _similarities(pairs: DataFrame, words: int) -> DataFrame:
 def prefix_length(rows: DataFrame, texts: DataFrame, forest: Forest) -> int:
     """How many levels of the labels make a bucket, from ``(key, text)`` and ``(key, labels)``.
 
-    Whole subtrees are drawn by their first level, so that about ``SAMPLE_LABELS``
-    labels are sorted; at most ``SAMPLE_PAIRS`` neighbours are verified, whatever the
-    size of the input. Their similarities alone reach the driver.
+    All labels of all trees are sorted and all neighbours with a common prefix verified;
+    the sums of each band of similarity, a few numbers, alone reach the driver.
     """
     seen = min(2, forest.depth)
     trees = F.array(*(F.struct(F.lit(t).alias("tree"), F.col("labels")[2 * t].alias("high"), F.col("labels")[2 * t + 1].alias("low")) for t in range(forest.trees)))
-    every = max(1, -(-texts.count() * forest.trees // SAMPLE_LABELS))
-    one = texts.select("key", F.explode(trees).alias("l")).select("key", "l.*")
-    drawn = one.where(F.pmod(F.xxhash64("tree", prefix_of(F.col("high"), F.col("low"), 1)), F.lit(every)) == 0)
-    pairs = _neighbours(drawn, seen)
-    pairs = stored(pairs.orderBy(F.xxhash64("a", "b")).limit(SAMPLE_PAIRS), "neighbours")
+    pairs = stored(_neighbours(texts.select("key", F.explode(trees).alias("l")).select("key", "l.*"), seen), "neighbours")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
-    # Two texts a pair at most, so they are broadcast; one document of a text will do.
-    found = rows.join(F.broadcast(wanted), rows["key"] == F.col("k"), "left_semi").dropDuplicates(["key"])
+    # One document of a text will do.
+    found = rows.join(wanted, rows["key"] == F.col("k"), "left_semi").dropDuplicates(["key"])
     found = stored(found.select("key", "text"), "neighbour-texts")
     x, y = found.select(F.col("key").alias("a"), F.col("text").alias("x")), found.select(F.col("key").alias("b"), F.col("text").alias("y"))
     verified = _similarities(pairs.join(x, "a").join(y, "b").select("x", "y"), forest.words)
-    similar = np.array([r["similarity"] for r in verified.where(F.col("similarity") >= forest.similarity - 1e-9).collect()])
-    return forest.prefix(similar, seen)
+    similar = F.col("similarity")
+
+    def chance(length: int) -> Column:
+        return 1 - F.pow(1 - F.pow(similar, F.lit(length)), F.lit(forest.trees))
+
+    band = ((similar - forest.similarity) / BAND + 1e-9).cast("int")
+    sums = verified.where(similar >= forest.similarity - 1e-9).groupBy(band.alias("band")).agg(
+        F.sum(1 / chance(seen)).alias("wanted"),
+        F.array(*(F.sum(chance(length) / chance(seen)) for length in range(1, forest.depth + 1))).alias("found"),
+    ).collect()
+    if not sums:
+        return forest.prefix(np.array([]))
+    return forest.longest(np.array([r["wanted"] for r in sums]), np.array([r["found"] for r in sums]))
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
