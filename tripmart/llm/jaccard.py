@@ -206,8 +206,10 @@ def prefix_length(rows: DataFrame, texts: DataFrame, forest: Forest) -> int:
     trees = F.array(*(F.struct(F.lit(t).alias("tree"), F.col("labels")[2 * t].alias("high"), F.col("labels")[2 * t + 1].alias("low")) for t in range(forest.trees)))
     pairs = stored(_neighbours(texts.select("key", F.explode(trees).alias("l")).select("key", "l.*"), seen), "neighbours")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
-    # One document of a text will do.
-    found = rows.join(wanted, rows["key"] == F.col("k"), "left_semi").dropDuplicates(["key"])
+    # One document of a text will do; copies of a text are dealt out, as there may be very many.
+    salted = rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    wanted = wanted.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    found = salted.join(wanted, (F.col("key") == F.col("k")) & (F.col("_salt") == F.col("_s")), "left_semi").dropDuplicates(["key"])
     found = stored(found.select("key", "text"), "neighbour-texts")
     x, y = found.select(F.col("key").alias("a"), F.col("text").alias("x")), found.select(F.col("key").alias("b"), F.col("text").alias("y"))
     verified = _similarities(pairs.join(x, "a").join(y, "b").select("x", "y"), forest.words)
