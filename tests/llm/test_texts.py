@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm import cases
-from tripmart.llm import components, jaccard, language, packing, ranking, repetition, spotsigs, urls
+from tripmart.llm import components, jaccard, language, packing, ranking, repetition, spotsigs, text, urls
 from tripmart.llm.mixing import stored
 
 SF = "/root/testdata/sf0.01"
@@ -192,6 +193,29 @@ def test_grams_equal_plain_counts(spark):
     assert ranking.measures(pa.array([], pa.string()), 64).shape == (0, len(ranking.MEASURES) + 64)
 
 
+def test_learning_needs_little_memory(spark):
+    """Stored rows hold 2 KB and lose nothing; hashing and learning work in place and in small pieces."""
+    texts = pa.array([*ODD, None, "", "a " * 70_000, "Ab c! 1,2.\nAb c!"], pa.string())
+    packed = ranking._packed(texts)
+    assert {len(x) for x in packed} == {8 * len(ranking.MEASURES) + 4 * ranking.BUCKETS}
+    assert (ranking._values(packed) == ranking.measures(texts, ranking.BUCKETS)).all()
+    draw = np.random.default_rng(4)
+    good, bad = (draw.normal(at, 1, (1000, len(ranking.MEASURES) + ranking.BUCKETS)) for at in (0.1, 0))
+    model = ranking.learn(good[:50], bad[:50], 0.5, pairs=100)
+    data = draw.integers(97, 123, 1 << 20).astype(np.uint8)
+    edges = np.arange(0, len(data), 1 << 10)
+    tracemalloc.start()
+    try:
+        ranking.block_weights(good, bad, model.steps, model.centre, model.spread)
+        learned = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        text.Hasher().ranges(data, edges[:-1], edges[1:])
+        hashed = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert learned < 35e6 and hashed < 30 * len(data)
+
+
 def test_words_alone_tell_labels_apart(spark):
     # Both labels have words of one length and no other signs: no measure differs but by chance.
     draw = random.Random(4)

@@ -14,6 +14,7 @@ under it as are labelled bad. Learning reads every labelled text, scoring every
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -29,7 +30,7 @@ BLOCK = 2000
 LEAST = 200
 PAIRS = 20000
 #: Pairs whose differences are in memory at once.
-CHUNK = 2000
+CHUNK = 500
 #: Labelled ids that are broadcast, at most.
 BROADCAST = 1 << 20
 #: Bounds the rank error of quantiles over all labelled texts: one part in this many.
@@ -76,29 +77,38 @@ _OTHER = _table("!?()[]{}=+-_/\\@^~`'\"")
 
 
 def grams(owner: np.ndarray, hashes: np.ndarray, n: int, buckets: int) -> np.ndarray:
-    """A row of ``buckets`` for each of ``n`` texts from the hashes of their words, in order.
+    """Sums in a row of ``buckets`` for each of ``n`` texts, from the hashes of their words, in order.
 
     Each word, and each pair of neighbours, adds 1 to a bucket or takes 1 off, by its
-    hash, so words that share a bucket cancel rather than pile up. Sums become
-    ``sign * log(1 + size)`` and a row has length 1; without words it is zero. Words
-    that differ and have the same 64-bit hash count as one: nothing checks for them.
+    hash, so words that share a bucket cancel rather than pile up. Words that differ and
+    have the same 64-bit hash count as one: nothing checks for them.
     """
     beside = owner[1:] == owner[:-1]
     pairs = mixed(hashes[1:] + mixed(hashes[:-1]))[beside]
     every, at = np.concatenate([hashes, pairs]), np.concatenate([owner, owner[1:][beside]])
     bucket = (every >> np.uint64(1)) % np.uint64(buckets)
     sign = 1.0 - 2.0 * (every & np.uint64(1)).astype(float)
-    sums = np.bincount(at * buckets + bucket.astype(np.int64), sign, n * buckets).reshape(n, buckets)
-    damped = np.sign(sums) * np.log1p(np.abs(sums))
-    return damped / np.maximum(np.sqrt((damped**2).sum(axis=1, keepdims=True)), 1e-12)
+    return np.bincount(at * buckets + bucket.astype(np.int64), sign, n * buckets).reshape(n, buckets).astype("<i4")
+
+
+def damped(sums: np.ndarray) -> np.ndarray:
+    """Sums as ``sign * log(1 + size)``, each row brought to length 1; without words it is zero."""
+    logs = np.sign(sums) * np.log1p(np.abs(sums))
+    return logs / np.maximum(np.sqrt((logs**2).sum(axis=1, keepdims=True)), 1e-12)
 
 
 def measures(column: pa.Array, buckets: int = 0) -> np.ndarray:
-    """A row of MEASURES for each text, and of ``buckets`` of its grams behind them.
+    """A row of MEASURES for each text, and of ``buckets`` of its damped grams behind them.
 
     Null and empty texts: all zero.
     """
-    hasher, out = Hasher(), []
+    out = [np.concatenate([found, damped(sums)], axis=1) for found, sums in _counted(column, buckets)]
+    return np.concatenate(out) if out else np.zeros((0, len(MEASURES) + buckets))
+
+
+def _counted(column: pa.Array, buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The measures, and the sums of grams, of each block of texts."""
+    hasher = Hasher()
     for block in blocks(column):
         data = block.data
         starts, ends, owner = words(block)
@@ -135,8 +145,22 @@ def measures(column: pa.Array, buckets: int = 0) -> np.ndarray:
             ],
             axis=1,
         )
-        out.append(np.concatenate([found, grams(owner, hashes, block.n, buckets)], axis=1) if buckets else found)
-    return np.concatenate(out) if out else np.zeros((0, len(MEASURES) + buckets))
+        yield found, grams(owner, hashes, block.n, buckets) if buckets else np.zeros((block.n, 0), "<i4")
+
+
+def _packed(column: pa.Array) -> list[bytes]:
+    """The measures of each text as doubles and its sums of grams as 4-byte integers: exact, and half the size of doubles."""
+    return [m.tobytes() + g.tobytes() for found, sums in _counted(column, BUCKETS) for m, g in zip(found.astype("<f8"), sums, strict=True)]
+
+
+def _values(packed: list[bytes]) -> np.ndarray:
+    """What ``measures`` returns, from packed rows."""
+    found = np.empty((len(packed), len(MEASURES) + BUCKETS))
+    for row, x in zip(found, packed, strict=True):
+        row[: len(MEASURES)] = np.frombuffer(x, "<f8", len(MEASURES))
+        row[len(MEASURES) :] = np.frombuffer(x, "<i4", BUCKETS, 8 * len(MEASURES))
+    found[:, len(MEASURES) :] = damped(found[:, len(MEASURES) :])
+    return found
 
 
 class Model(NamedTuple):
@@ -163,7 +187,8 @@ def solved(x_good: np.ndarray, x_bad: np.ndarray, i: np.ndarray, j: np.ndarray)
     for _ in range(ROUNDS):
         slope, bend = RIDGE * weights, RIDGE * np.eye(len(weights))
         for low in range(0, len(i), CHUNK):
-            difference = x_good[i[low : low + CHUNK]] - x_bad[j[low : low + CHUNK]]
+            difference = x_good[i[low : low + CHUNK]]
+            difference -= x_bad[j[low : low + CHUNK]]
             wrong = 1 / (1 + np.exp(np.clip(difference @ weights, -500, 500)))
             slope -= difference.T @ wrong / len(i)
             bend += (difference * (wrong * (1 - wrong))[:, None]).T @ difference / len(i)
@@ -219,12 +244,11 @@ def scores(values: np.ndarray, model: Model) -> np.ndarray:
 def _rows_of(kept: list[str], model: Model | None):
     def work(batches):
         for batch in batches:
-            values = measures(batch.column(len(kept)), BUCKETS)
-            arrays = [batch.column(i) for i in range(len(kept))]
+            text, arrays = batch.column(len(kept)), [batch.column(i) for i in range(len(kept))]
             if model is None:
-                arrays.append(pa.array([row.tobytes() for row in values.astype("<f8")], pa.binary()))
+                arrays.append(pa.array(_packed(text), pa.binary()))
             else:
-                arrays.append(pa.array(scores(values, model), pa.float64()))
+                arrays.append(pa.array(scores(measures(text, BUCKETS), model), pa.float64()))
             yield pa.RecordBatch.from_arrays(arrays, names=[*kept, "_out"])
 
     return work
@@ -253,7 +277,7 @@ def _unpacked(rows: DataFrame) -> DataFrame:
 
     def work(batches):
         for batch in batches:
-            values = [np.frombuffer(x.as_py(), "<f8")[: len(MEASURES)].tolist() for x in batch.column(2)]
+            values = [np.frombuffer(x.as_py(), "<f8", len(MEASURES)).tolist() for x in batch.column(2)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.list_(pa.float64()))], names=["doc_id", "quality", "_out", "_measures"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -264,13 +288,10 @@ def _weights_of_blocks(rows: DataFrame, steps: np.ndarray, centre: np.ndarray, s
     """``(block, weights)`` of every block that has texts of both labels."""
 
     def work(key, table):
-        values = np.stack([np.frombuffer(x.as_py(), "<f8") for x in table.column("_out")])
-        quality = table.column("quality").to_numpy()
+        packed, quality = table.column("_out"), table.column("quality").to_numpy()
         order = np.lexsort([table.column("place").to_numpy()])
-        values, quality = values[order], quality[order]
-        found = []
-        if 0 < quality.sum() < len(quality):
-            found = [block_weights(values[quality == 1], values[quality == 0], steps, centre, spread).tolist()]
+        good, bad = (_values([packed[int(i)].as_py() for i in order if quality[i] == q]) for q in (1, 0))
+        found = [block_weights(good, bad, steps, centre, spread).tolist()] if len(good) and len(bad) else []
         return pa.table({"block": pa.array([key[0].as_py()] * len(found), pa.int64()), "weights": pa.array(found, pa.list_(pa.float64()))})
 
     return rows.groupBy("block").applyInArrow(work, "block long, weights array<double>")
@@ -281,8 +302,7 @@ def _raw_scores(rows: DataFrame, model: Model) -> DataFrame:
 
     def work(batches):
         for batch in batches:
-            values = np.stack([np.frombuffer(x.as_py(), "<f8") for x in batch.column(1)]) if batch.num_rows else np.zeros((0, len(MEASURES) + BUCKETS))
-            raw = _spread_out(values, model.steps, model.centre, model.spread) @ model.weights
+            raw = _spread_out(_values(batch.column(1).to_pylist()), model.steps, model.centre, model.spread) @ model.weights
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.float64())], names=["quality", "raw"])
 
     return in_batches(rows.select("quality", "_out"), work, "quality int, raw double")
@@ -294,7 +314,7 @@ def fit(documents: DataFrame, labels: DataFrame, block: int = BLOCK) -> Model:
     Rows without a text or without a label 0 or 1 teach nothing. Of repeated labels
     of an id the smallest counts. Texts go to blocks by a hash of their id; a rare label's
     texts go to several, so that a block has about ``LEAST`` of them. Measures and grams
-    of labelled texts are stored, some 4 KB each. The driver gets the weights of each
+    of labelled texts are stored, some 2 KB each. The driver gets the weights of each
     block, some 6 KB for ``block`` texts, and quantiles.
     """
     width = len(MEASURES) + BUCKETS

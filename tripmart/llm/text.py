@@ -73,7 +73,7 @@ def mixed(values: np.ndarray) -> np.ndarray:
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n + 1, base & _MASK, np.uint64)
     out[0] = 1
-    return np.multiply.accumulate(out)
+    return np.multiply.accumulate(out, out=out)
 
 
 class Hasher:
@@ -85,8 +85,12 @@ class Hasher:
     def ranges(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         if len(data) >= len(self.powers):
             self.powers, self.inverse = _powers(_BASE, len(data)), _powers(_INVERSE, len(data))
+        # In place: these arrays are eight times as large as the texts.
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.powers[: len(data)], out=sums[1:])
+        sums[1:] = data
+        sums[1:] += np.uint64(1)
+        sums[1:] *= self.powers[: len(data)]
+        np.cumsum(sums[1:], out=sums[1:])
         return mixed((sums[ends] - sums[starts]) * self.inverse[starts])
 
 
