@@ -38,7 +38,8 @@ def _text(column: Column) -> Column:
 def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text column per trip field, plus provenance."""
     lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    # A moment's text is made once: of an order before its lines meet it, of a line below.
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", _text(F.col("o_orderdate")).alias("o_orderdate"))
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     joined = (
@@ -48,13 +49,13 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
     )
     # Some lines occur twice, as exact copies of the business record.
-    copied = joined.withColumn(
+    copied = joined.withColumn("l_shipdate", _text(F.col("l_shipdate"))).withColumn(
         "copy", F.explode(F.when(_every("l_partkey", 53), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     )
     fare = _money("l_extendedprice")
     tip = F.round(fare * F.col("l_discount").cast("decimal(4,2)"), 2)
     misfiled = _every("l_orderkey", 41) & (F.col("copy") == 0)
-    period = F.substring(_text(F.when(misfiled, F.col("l_shipdate")).otherwise(F.col("o_orderdate"))), 1, 7)
+    period = F.substring(F.when(misfiled, F.col("l_shipdate")).otherwise(F.col("o_orderdate")), 1, 7)
     # A stand-in row number: the line in the high bits, part, supplier and copy below.
     row = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * (1 << 22) + (
         F.pmod(F.col("l_partkey") * 1_000_003 + F.col("l_suppkey"), F.lit(1 << 21)) * 2 + F.col("copy")
@@ -65,8 +66,8 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(_text(F.col("l_suppkey") % 9)),
         "pickup_at": F.when(_every("l_partkey", 67), "not-a-time")
         .when(_every("l_partkey", 97), F.lit(None))
-        .otherwise(F.concat(F.lit(" "), _text(F.col("o_orderdate")))),
-        "dropoff_at": _text(F.col("l_shipdate")),
+        .otherwise(F.concat(F.lit(" "), F.col("o_orderdate"))),
+        "dropoff_at": F.col("l_shipdate"),
         "passenger_count": F.when(_every("l_partkey", 71), "12")
         .when(_every("l_partkey", 73), "-1")
         .when(_every("l_partkey", 79), F.lit(None))

@@ -284,3 +284,20 @@ def test_summary_of_a_hot_record_joins_no_rows(spark, low_skew_limits):
         place = (r.source_period, r.source_file, r.source_row_number)
         later[r.source_period] = later.get(r.source_period, 0) + (ranks[place] > 1)
     assert {r.source_period: r.exact_duplicate_count for r in summary.collect()} == later
+
+
+def test_summary_sorts_only_rows_that_may_be_repeated(spark):
+    """Unrepeated records are counted where they lie; what is sorted by record is little, and no period has no first copy."""
+    labels = messy(spark, 9)
+    rows = labels.withColumn("source_period", F.when(F.col("source_row_number") % 5 > 0, F.col("source_period")))
+    summary = trips.quality_summary(rows)
+    plan = summary._jdf.queryExecution().optimizedPlan().toString()
+    least = plan[plan.index("min(struct(source_period") :]
+    assert least.index("getbit") < least.index("parquet" if "parquet" in least else "LogicalRDD")
+    firsts = {}
+    for r in sorted(rows.collect(), key=lambda r: (r.source_period or "", r.source_file, r.source_row_number)):
+        firsts.setdefault(r.record_hash, r)
+    for r in summary.collect():
+        found = [f for f in firsts.values() if f.source_period is not None and f.source_period == r.source_period]
+        assert r.usable_row_count == sum(f.dq_status == trips.PASS for f in found)
+        assert r.exact_duplicate_count == r.raw_row_count - len(found)

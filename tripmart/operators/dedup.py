@@ -10,7 +10,7 @@ Joined to the aggregation itself, the rows would have to follow its partitioning
   shuffle, so a map task sends at most one row per record.
 * ``repeated_keys`` and ``first_copies`` are aggregations with a partial step
   directly over the rows.
-* ``marked_repeated`` tells, by a broadcast of bitmaps, most rows of unrepeated keys.
+* ``marked_repeated`` tells, by a broadcast of bits, most rows of unrepeated keys.
 * ``duplicate_rank`` needs every rank. It numbers the repeated records' origins
   inside bounded blocks of a record and adds the sizes of the blocks before.
 """
@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 from tripmart.session import stored
 
 BLOCK_ROWS = 1 << 20
-# Bits that mark hashes of repeated keys: 8 MB at most, whatever the input.
+# Bits that mark hashes of repeated keys: 2^20 words of two longs at most, whatever the input.
 MARK_BITS = 1 << 26
-# Fixed value: bits of one bitmap of Spark.
-BITMAP_BITS = 1 << 15
+# Fixed value: bits of a long.
+WORD_BITS = 64
 
 
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -84,18 +84,17 @@ def marked_repeated(df: DataFrame, key: Sequence[str], into: str, bits: int = MA
     """Mark every row whose key is repeated, and a few others, without a shuffle of the rows.
 
     Only 64-bit hashes of the keys are shuffled. The bits of those that occur twice are
-    set in bitmaps, which are stored and broadcast. Hashes or bits that coincide mark a
-    row too many, never one too few.
+    set in words, which are stored and broadcast; words without a bit are left out. Hashes
+    or bits that coincide mark a row too many, never one too few.
     """
-    bucket, marks, place = "__bucket", "__marks", F.pmod(F.xxhash64(*key), F.lit(bits))
+    word, marks, place = "__word", "__marks", F.pmod(F.xxhash64(*key), F.lit(bits))
     twice = df.select(F.xxhash64(*key).alias("__hash")).groupBy("__hash").agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
-    found = twice.select(F.pmod("__hash", F.lit(bits)).alias("__place")).groupBy(F.expr(f"__place div {BITMAP_BITS}").alias(bucket))
-    bitmaps = stored(found.agg(F.bitmap_construct_agg(F.bitmap_bit_position("__place")).alias(marks)), "marks")
-    bit = F.bitmap_bit_position(place)
-    byte = F.conv(F.hex(F.substring(F.col(marks), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    mark = F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))
-    wide = df.withColumn(bucket, (place / BITMAP_BITS).cast("long")).join(F.broadcast(bitmaps), bucket, "left")
-    return wide.withColumn(into, mark).drop(bucket, marks)
+    found = twice.select(F.pmod("__hash", F.lit(bits)).alias("__place")).groupBy(F.expr(f"__place div {WORD_BITS}").alias(word))
+    set_bit = F.expr(f"shiftleft(1L, cast(__place % {WORD_BITS} as int))")
+    words = stored(found.agg(F.bit_or(set_bit).alias(marks)), "marks")
+    mark = F.coalesce(F.getbit(F.col(marks), (place % WORD_BITS).cast("int")) == 1, F.lit(False))
+    wide = df.withColumn(word, F.shiftright(place, WORD_BITS.bit_length() - 1)).join(F.broadcast(words), word, "left")
+    return wide.withColumn(into, mark).drop(word, marks)
 
 
 def duplicate_rank(

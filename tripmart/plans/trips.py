@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tripmart.functions import fields as fx
 from tripmart.functions import keys, measures
 from tripmart.operators.classify import Rule, classify, twin_statuses
-from tripmart.operators.dedup import duplicate_rank, first_copies, flag_first
+from tripmart.operators.dedup import duplicate_rank, first_copies, flag_first, marked_repeated
 from tripmart.session import stored
 
 # Source field per text column.
@@ -258,23 +258,33 @@ def _summary(counts: DataFrame) -> DataFrame:
 
 
 def quality_summary(labels: DataFrame) -> DataFrame:
-    """Accepted, rejected and anomalous rows per period; reads ``labels`` twice.
+    """Accepted, rejected and anomalous rows per period; reads ``labels`` three times.
 
-    No row is joined: every record has one first copy, so the first copies of a period
-    are the records whose least origin lies in it, and its other rows are duplicates. An
-    aggregation by record finds them, with a partial step, however hot a record is.
+    Every record has one first copy, so the first copies of a period are the records
+    whose least origin lies in it, and its other rows are duplicates. A record that marks
+    tell to be unrepeated is its own first copy and counted where it lies. For the others
+    an aggregation by record, with a partial step, finds the least origin, however hot a
+    record is: it sorts its rows, so it should get few. A missing period has no first copy.
     """
+    maybe = "__maybe"
+    marked = marked_repeated(labels, [HASH], maybe)
     first = F.min(F.struct(*ORIGIN, "dq_status")).alias("first")
-    firsts = labels.groupBy(HASH).agg(first).groupBy(F.col("first.source_period").alias("source_period"))
+    firsts = marked.filter(maybe).groupBy(HASH).agg(first).groupBy(F.col("first.source_period").alias("source_period"))
     firsts = firsts.agg(
         F.count(F.lit(1)).alias("firsts"), F.count_if(F.col("first.dq_status") == PASS).alias("usable")
     )
-    counts = labels.groupBy("source_period").agg(*_row_counts()).join(firsts, "source_period", "left")
+    single = ~F.col(maybe) & F.col("source_period").isNotNull()
+    alone = [
+        F.count_if(single).alias("alone"),
+        F.count_if(single & (F.col("dq_status") == PASS)).alias("alone_usable"),
+    ]
+    counts = marked.groupBy("source_period").agg(*_row_counts(), *alone).join(firsts, "source_period", "left")
+    several = F.coalesce("firsts", F.lit(0))
     return _summary(
         counts.withColumns(
             {
-                "usable_row_count": F.coalesce("usable", F.lit(0)),
-                "exact_duplicate_count": F.col("raw_row_count") - F.coalesce("firsts", F.lit(0)),
+                "usable_row_count": F.coalesce("usable", F.lit(0)) + F.col("alone_usable"),
+                "exact_duplicate_count": F.col("raw_row_count") - several - F.col("alone"),
             }
         )
     )
