@@ -510,6 +510,51 @@ def test_prefix_length_sees_every_pair(spark):
     assert lengths[0] == forest.depth > lengths[1]
 
 
+def test_texts_of_buckets_are_among_the_compared(spark):
+    """Texts that share levels with another are known before buckets are made, also where labels are cut into ranges."""
+    draw = random.Random(33)
+    bases = [[f"w{draw.randrange(10**6)}" for _ in range(60)] for _ in range(60)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(t for b in bases for t in (" ".join(b), changed(draw, b, 0.01), changed(draw, b, 1)))], "doc_id long, text string")
+    forest = jaccard.Forest(trees=1)
+    keyed = frame.select(jaccard.text_key(F.col("text")).alias("key"), "text")
+    labelled = stored(jaccard._labelled(keyed, forest), "labels").dropDuplicates(["key"])
+    members = defaultdict(set)
+    for r in labelled.collect():
+        for tree in range(forest.trees):
+            members[tree, r["labels"][2 * tree] & (2**64 - 1) >> 32 << 32].add(bytes(r["key"]))
+    expected = {k for group in members.values() if len(group) > 1 for k in group}
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(held, ("150", "false"), strict=True):
+            spark.conf.set(k, v)
+        pairs, found = jaccard._compared(keyed, labelled, forest)
+        linked = {bytes(k) for r in pairs.collect() for k in r}
+        keys = [bytes(r["key"]) for r in found.collect()]
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert len(keys) == len(set(keys)) and set(keys) >= expected and len(expected) > 20
+    assert linked < expected, "no range cuts a pair of neighbours here"
+
+
+def test_hashing_of_grams_needs_little_memory():
+    column = pa.array([cases.sentence(random.Random(i), 320) for i in range(3000)])
+    tracemalloc.start()
+    try:
+        sets = jaccard.gram_sets(column, jaccard.Hasher(), 5)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert column.nbytes > 3 * jaccard.HASHED_BYTES and len(sets) == 3000
+    assert most - sum(s.nbytes for s in sets) < 60 * jaccard.HASHED_BYTES
+
+
+def test_salted_classes_are_not_broadcast(spark):
+    kept = jaccard.deduplicated(cases.documents(spark))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_neighbours_are_those_of_the_sorted_tries(spark):
     block = next(jaccard.blocks(pa.array([cases.sentence(random.Random(i % 30), 40) + f" {i % 45}" for i in range(90)])))
     forest = jaccard.Forest(trees=2, depth=6)

@@ -38,6 +38,10 @@ LEVEL_BITS = 16
 HALF = 4
 #: Width of a band of similarities.
 BAND = 0.05
+#: Levels of a common prefix from which neighbours are verified.
+SEEN = 2
+#: Bytes of text hashed at once; the hasher's arrays and tables take some 40 times as much.
+HASHED_BYTES = 1 << 20
 
 
 class Forest(NamedTuple):
@@ -102,6 +106,15 @@ def shingles(block: Block, hasher: Hasher, n: int) -> tuple[np.ndarray, np.ndarr
     return grams[order], owners[order]
 
 
+def gram_sets(column: pa.Array, hasher: Hasher, n: int) -> list[np.ndarray]:
+    """The sorted set of hashes of n-grams of each text."""
+    sets: list[np.ndarray] = []
+    for block in blocks(column, HASHED_BYTES):
+        grams, owners = shingles(block, hasher, n)
+        sets.extend(np.unique(s) for s in np.split(grams, np.searchsorted(owners, np.arange(1, block.n))))
+    return sets
+
+
 def labels(block: Block, hasher: Hasher, forest: Forest) -> np.ndarray:
     """Each text's label in each tree, as two numbers of four levels: (texts, trees * 2)."""
     grams, owners = shingles(block, hasher, forest.words)
@@ -123,7 +136,7 @@ def _labelled(rows: DataFrame, forest: Forest) -> DataFrame:
     def work(batches):
         hasher = Hasher()
         for batch in batches:
-            found = [labels(b, hasher, forest) for b in blocks(batch.column(1))]
+            found = [labels(b, hasher, forest) for b in blocks(batch.column(1), HASHED_BYTES)]
             if not found:
                 continue
             values = np.concatenate(found).view(np.int64)
@@ -154,7 +167,11 @@ def common_levels(high: np.ndarray, low: np.ndarray) -> np.ndarray:
 
 
 def _neighbours(labelled: DataFrame, seen: int) -> DataFrame:
-    """``(a, b)``: texts that follow one another in a sorted tree and share ``seen`` levels."""
+    """``(a, b)``: texts that follow one another in a sorted tree and share ``seen`` levels.
+
+    The first and last text of a range of the sorted labels are paired with themselves:
+    what follows or precedes them lies in another range, so no pair may show what they share.
+    """
 
     def work(batches):
         last = None
@@ -168,8 +185,12 @@ def _neighbours(labelled: DataFrame, seen: int) -> DataFrame:
             near[1:] &= tree[1:] == tree[:-1]
             at = np.flatnonzero(near)
             keys = batch.column("key")
+            if last is None:
+                yield pa.RecordBatch.from_arrays([keys.slice(0, 1)] * 2, names=["a", "b"])
             last = batch.slice(batch.num_rows - 1)
             yield pa.RecordBatch.from_arrays([keys.take(pa.array(at - 1)), keys.take(pa.array(at))], names=["a", "b"])
+        if last is not None:
+            yield pa.RecordBatch.from_arrays([last.column("key")] * 2, names=["a", "b"])
 
     ordered = labelled.repartitionByRange("tree", "high", "low").sortWithinPartitions("tree", "high", "low")
     pairs = in_batches(ordered, work, "a binary, b binary")
@@ -182,13 +203,7 @@ def _similarities(pairs: DataFrame, words: int) -> DataFrame:
     def work(batches):
         hasher = Hasher()
         for batch in batches:
-            sides = []
-            for column in batch.columns:
-                sets: list[np.ndarray] = []
-                for block in blocks(column):
-                    grams, owners = shingles(block, hasher, words)
-                    sets.extend(np.unique(s) for s in np.split(grams, np.searchsorted(owners, np.arange(1, block.n))))
-                sides.append(sets)
+            sides = [gram_sets(column, hasher, words) for column in batch.columns]
             common = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(*sides, strict=True)]
             index = [c / (len(x) + len(y) - c) for c, x, y in zip(common, *sides, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(index, pa.float64())], names=["similarity"])
@@ -196,21 +211,36 @@ def _similarities(pairs: DataFrame, words: int) -> DataFrame:
     return in_batches(pairs, work, "similarity double")
 
 
-def prefix_length(rows: DataFrame, texts: DataFrame, forest: Forest) -> int:
-    """How many levels of the labels make a bucket, from ``(key, text)`` and ``(key, labels)``.
+def _compared(rows: DataFrame, texts: DataFrame, forest: Forest) -> tuple[DataFrame, DataFrame]:
+    """Neighbours ``(a, b)`` and the texts ``(key, text)`` that may share ``SEEN`` levels with another.
 
-    All labels of all trees are sorted and all neighbours with a common prefix verified;
-    the sums of each band of similarity, a few numbers, alone reach the driver.
+    Of ``(key, text)`` and ``(key, labels)``. No text that shares them is missing, so the
+    members of buckets are among them if these are made of as many levels.
     """
-    seen = min(2, forest.depth)
+    seen = min(SEEN, forest.depth)
     trees = F.array(*(F.struct(F.lit(t).alias("tree"), F.col("labels")[2 * t].alias("high"), F.col("labels")[2 * t + 1].alias("low")) for t in range(forest.trees)))
     pairs = stored(_neighbours(texts.select("key", F.explode(trees).alias("l")).select("key", "l.*"), seen), "neighbours")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
     # One document of a text will do; copies of a text are dealt out, as there may be very many.
     salted = rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
-    wanted = wanted.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # Merged: the planner sees the size before the salts and would broadcast a multiple of it.
+    wanted = wanted.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
     found = salted.join(wanted, (F.col("key") == F.col("k")) & (F.col("_salt") == F.col("_s")), "left_semi").dropDuplicates(["key"])
-    found = stored(found.select("key", "text"), "neighbour-texts")
+    return pairs.where("a <> b"), stored(found.select("key", "text"), "neighbour-texts")
+
+
+def prefix_length(rows: DataFrame, texts: DataFrame, forest: Forest) -> int:
+    """How many levels of the labels make a bucket, from ``(key, text)`` and ``(key, labels)``."""
+    return _recalled(*_compared(rows, texts, forest), forest)
+
+
+def _recalled(pairs: DataFrame, found: DataFrame, forest: Forest) -> int:
+    """The longest prefix with the target recall, from neighbours and their texts.
+
+    All labels of all trees were sorted and all neighbours with a common prefix are verified;
+    the sums of each band of similarity, a few numbers, alone reach the driver.
+    """
+    seen = min(SEEN, forest.depth)
     x, y = found.select(F.col("key").alias("a"), F.col("text").alias("x")), found.select(F.col("key").alias("b"), F.col("text").alias("y"))
     verified = _similarities(pairs.join(x, "a").join(y, "b").select("x", "y"), forest.words)
     similar = F.col("similarity")
@@ -301,12 +331,7 @@ def _verified(rows: DataFrame, forest: Forest) -> DataFrame:
     def work(batches):
         hasher, group = Hasher(), []
         for batch in batches:
-            out = []
-            sets: list[np.ndarray] = []
-            for block in blocks(batch.column("text")):
-                grams, owners = shingles(block, hasher, forest.words)
-                cuts = np.searchsorted(owners, np.arange(1, block.n))
-                sets.extend(np.unique(s) for s in np.split(grams, cuts))
+            out, sets = [], gram_sets(batch.column("text"), hasher, forest.words)
             columns = [batch.column(c).to_pylist() for c in ("key", "side", "labels", "tree", "bucket", "i", "j", "copies")]
             for s, key, side, label, tree, bucket, i, j, copies in zip(sets, *columns, strict=True):
                 at = (bucket, i, j)
@@ -346,7 +371,8 @@ def classes_of(documents: DataFrame, forest: Forest = Forest()) -> DataFrame:
     numbers = range(forest.trees * 2)
     once = found.select("key", *(F.col("labels")[t].alias(f"t{t}") for t in numbers)).groupBy("key").agg(*(F.max(f"t{t}").alias(f"t{t}") for t in numbers))
     full = stored(once.join(copies, "key").select("key", "id", "copies", F.array(*(f"t{t}" for t in numbers)).alias("labels")), "texts")
-    length = prefix_length(rows.select("key", "text"), full, forest)
+    pairs, shared = _compared(rows.select("key", "text"), full, forest)
+    length = _recalled(pairs, shared, forest)
     prefixes = F.array(*(prefix_of(F.col("labels")[2 * t], F.col("labels")[2 * t + 1], length) for t in range(forest.trees)))
     texts = full.withColumn("labels", prefixes)
 
@@ -359,10 +385,11 @@ def classes_of(documents: DataFrame, forest: Forest = Forest()) -> DataFrame:
     kept = sizes.where("n > 1").groupBy("n", "x", "s").agg(F.min(F.struct("tree", "label")).alias("b")).select("n", "b.tree", "b.label")
     members = stored(in_trees.join(kept, ["tree", "label"]).select("key", "tree", F.xxhash64("tree", "label").alias("bucket"), "n"), "members")
 
-    wanted = members.select("key").distinct().join(texts, "key")
-    # One document of each text: of equal rows, any.
-    chosen = wanted.select(F.col("key").alias("k"), F.col("id"))
-    carried = rows.join(chosen, (rows["key"] == chosen["k"]) & rows["doc_id"].eqNullSafe(chosen["id"])).select("key", "text").dropDuplicates(["key"])
+    carried = shared
+    if length < min(SEEN, forest.depth):
+        # One document of each text: of equal rows, any.
+        chosen = members.select(F.col("key").alias("k")).distinct().join(texts, F.col("k") == F.col("key")).select("k", "id")
+        carried = rows.join(chosen, (rows["key"] == chosen["k"]) & rows["doc_id"].eqNullSafe(chosen["id"])).select("key", "text").dropDuplicates(["key"])
     # One block for each ``block`` texts of a bucket, and one row for each pair of blocks.
     number = F.ceil(F.col("n") / forest.block).cast("int")
     side = F.pmod(F.xxhash64(F.col("key"), F.lit(2)), number.cast("long")).cast("int")
@@ -415,7 +442,8 @@ def deduplicated(documents: DataFrame, forest: Forest = Forest()) -> DataFrame:
     # Rows that are equal in both share a salt, so one of them is left at the end.
     salt = F.pmod(F.xxhash64("_row.doc_id"), F.lit(SALTS)).cast("int")
     found = classes_of(documents, forest).select(F.col("key").alias("_k"), F.col("own_id").alias("_id"), F.col("first").alias("_first"))
-    found = found.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # Merged: the planner sees the size before the salts and would broadcast a multiple of it.
+    found = found.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
     rows = rows.withColumn("_salt", salt)
     joined = rows.join(found, (F.col("_key") == F.col("_k")) & (F.col("_salt") == F.col("_s")), "left")
     kept = joined.where(F.col("_k").isNull() | (F.col("_first") & F.col("_row.doc_id").eqNullSafe(F.col("_id"))))
