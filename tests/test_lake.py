@@ -9,9 +9,11 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from driver import adapter, queries
+from tripmart.operators import dedup
 from tripmart.operators.checks import ChecksFailed, evaluate, gate, run_checks
 from tripmart.plans import build, trip_checks, trips
-from tripmart.session import scratch, small_methods, stored
+from tripmart.session import scratch, shuffles_removed, small_methods, stored
 from tripmart.sources import landing, lookup_csv
 from tripmart.sources.landing import EmptyLoad
 from tripmart.sources.lake import TRIPS, ZONES, CommitConflict, Lake
@@ -572,3 +574,103 @@ def test_scratch_folders_go_with_their_step(spark):
         (folder,) = {p.rsplit("/", 1)[0] for p in stored(spark.range(5), "step").inputFiles()}
         raise ValueError
     assert not os.path.exists(folder.removeprefix("file://"))
+
+
+def rows_of(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_parts_become_visible_together_and_computed_columns_are_not_stored(spark, lake):
+    rows = spark.range(9).select("id", F.md5(F.concat(F.lit("f"), F.lit("|"), F.col("id").cast("string"))).alias("key"), F.lit("2025-01").alias("source_period"), (F.col("id") * 2).alias("twice"))
+    seen = []
+
+    def parts():
+        for i in range(3):
+            with pytest.raises(LookupError):
+                lake.table("t")
+            seen.append(i)
+            yield rows.filter(F.col("id") % 3 == i)
+
+    computed = {"key": "md5(concat('f', '|', cast(id as string)))"}
+    assert lake.write_table("t", parts(), partition_by="source_period", computed=computed) == 9 and seen == [0, 1, 2]
+    table = lake.table("t")
+    assert table.columns == ["id", "key", "twice", "source_period"]
+    assert rows_of(table) == rows_of(rows.select(*table.columns))
+    assert all("key" not in spark.read.parquet(f).columns for f in table.inputFiles())
+    lake.write_table("t", rows.drop("key"))
+    assert "key" not in lake.table("t").columns
+
+
+def shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return sum(f.endswith(".data") for d in dirs for _, _, files in os.walk(d.getPath()) for f in files)
+
+
+def test_shuffle_files_go_with_their_step(spark, lake, tmp_path):
+    files = landed(spark, tmp_path)
+    zones = write(tmp_path / "zones.csv", ZONE_LINES)
+    build.load_all(lake, files, zones, list(files))
+    before = shuffle_files(spark)
+    build.build_layers(lake, build.Options(periods=list(files), required_periods=list(files)))
+    assert shuffle_files(spark) <= before
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(key)
+    with pytest.raises(ValueError), shuffles_removed(spark):
+        assert spark.conf.get(key) == "true"
+        raise ValueError
+    assert spark.conf.get(key) == setting
+
+
+def test_silver_equals_the_plain_operators(spark, lake, tmp_path, monkeypatch):
+    """Accepted trips, summary and ranks of a lake, made in slices, are those of unsliced operators over its labels."""
+    monkeypatch.setattr(dedup, "SLICE_ROWS", 40)
+    periods = ["2025-01", "2025-02", "2025-03"]
+    files = {}
+    for n, period in enumerate(periods):
+        rows = [{"tip_amount": str(i % 5), "pickup_at": "bad" if i % 7 == n else f"2025-0{1 + i % 3}-05 08:00:00", "dropoff_at": "2025-03-31 08:00:00" if i % 4 else "2025-01-01 00:00:00"} for i in range(30)]
+        files[period] = trip_file(spark, tmp_path, period, [*rows, {"fare_amount": str(n)}])
+    options = build.Options(periods=periods, required_periods=periods, limits=trips.Limits(max_duration_seconds=365 * 86_400))
+    build.run(lake, files, write(tmp_path / "zones.csv", ZONE_LINES), options)
+    labels, plain = lake.table(build.LABELLED), build._labels(lake, options.limits)
+    assert rows_of(labels) == rows_of(plain.select(*labels.columns))
+    clean = lake.table(build.CLEAN)
+    assert clean.count() > 3 and rows_of(clean.select(*trips.CLEAN_COLUMNS)) == rows_of(trips.clean(labels))
+    assert rows_of(lake.table(build.SUMMARY)) == rows_of(trips.quality_summary(labels))
+    assert rows_of(lake.table(build.FACT).select("trip_sk")) == rows_of(clean.select("trip_sk"))
+    ranked = rows_of(trips.staged(labels))
+    assert rows_of(build.staging(lake)) == ranked
+    parts = [part() for part in build.staging_slices(lake)]
+    assert len(parts) == 3
+    assert sorted(row for part in parts for row in rows_of(part)) == ranked
+
+
+def test_landed_files_go_before_the_layers_are_built(spark, monkeypatch):
+    landed_folders = []
+    load = build.load_all
+    monkeypatch.setattr(build, "load_all", lambda lake, landed, *rest: (landed_folders.extend(landed.values()), load(lake, landed, *rest)))
+
+    def built(lake, options):
+        assert len(landed_folders) == 12 and not any(os.path.exists(f.removeprefix("file://")) for f in landed_folders)
+        assert lake.raw(TRIPS).count() > 6000
+        raise StopIteration
+
+    monkeypatch.setattr(build, "build_layers", built)
+    with pytest.raises(StopIteration):
+        queries.pipeline_kpis(spark, "/root/testdata/sf0.001")
+
+
+def test_lines_are_shuffled_once_and_unless_suppliers_are_many(spark, monkeypatch):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def exchanges():
+            df = adapter.trips_raw(spark, "/root/testdata/sf0.001")
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            return sum("Exchange hashpartitioning(l_" in line for line in plan.splitlines()), rows_of(df)
+
+        once, few = exchanges()
+        monkeypatch.setattr(adapter, "BROADCAST_ROWS", 0)
+        twice, many = exchanges()
+        assert (once, twice) == (1, 2) and few == many
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -6,7 +6,7 @@ from helpers import texts
 from pyspark.sql import functions as F
 
 from driver import adapter, queries
-from tripmart.operators import dedup
+from tripmart.operators import checks, dedup
 from tripmart.operators.classify import Rule, classify, twin_statuses
 from tripmart.plans import trips
 from tripmart.session import stored
@@ -309,3 +309,40 @@ def test_trips_are_made_once_for_the_listings(spark, monkeypatch):
     monkeypatch.setattr(adapter, "trips_raw", lambda *at, make=adapter.trips_raw: made.append(at) or make(*at))
     assert queries.listing_order(spark, "/root/testdata/sf0.001").count() > 0
     assert len(made) == 1
+
+
+@pytest.mark.parametrize("block_rows", [3, 1 << 20])
+def test_rank_in_place_equals_the_ranks(spark, block_rows):
+    labels = messy(spark, 10)
+    ranks = brute_ranks(labels.collect())
+    ranked = dedup.rank_in_place(labels, [trips.HASH], trips.ORIGIN, block_rows=block_rows)
+    assert ranked.columns == dedup.duplicate_rank(labels, [trips.HASH], trips.ORIGIN).columns
+    found = {(r.source_period, r.source_file, r.source_row_number): r.duplicate_rank for r in ranked.collect()}
+    assert found == ranks and max(ranks.values()) > 3
+
+
+def test_hot_record_is_ranked_in_blocks(spark):
+    rows, n = hot(spark), 200_000
+    ranked = dedup.rank_in_place(rows, [trips.HASH], trips.ORIGIN, block_rows=1 << 12)
+    assert largest_task(ranked) < n // 4
+    assert ranked.agg(F.max("duplicate_rank")).first()[0] == n * 4 // 5 + 1
+
+
+def test_accepted_rows_are_dropped_where_they_lie(spark):
+    """Rows of unrepeated records are not shuffled, and of a hot one little more than its first copy."""
+    rows, n = hot(spark), 200_000
+    known = trips.marked(rows)
+    firsts = stored(dedup.first_rows(known.filter(trips.MAYBE), [trips.HASH], trips.ORIGIN, ["dq_status"]), "firsts")
+    found = dedup.only_first(known.filter(trips.MAYBE), [trips.HASH], trips.ORIGIN, firsts)
+    alone = known.filter(~F.col(trips.MAYBE))
+    assert found.count() + alone.count() == n // 5 and firsts.agg(F.max("copies")).first()[0] == n * 4 // 5 + 1
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("getbit") >= 2
+    assert "Exchange hashpartitioning" not in alone._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rare_duplicates_are_the_duplicates(spark):
+    values = [1, 1, 2, None, None, 3, 3, 3, 4]
+    df = spark.createDataFrame([(v,) for v in values], "k long")
+    assert sorted(map(str, checks.rare_duplicates(df, ["k"]).collect())) == sorted(map(str, checks.duplicates(df, ["k"]).collect()))
+    assert checks.evaluate(checks.run_checks([checks.unique(df, "t", "k", large=True)])) == [("unique:t.k", 2)]
